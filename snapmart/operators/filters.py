@@ -7,11 +7,14 @@ drop an unneeded inner join, as it may remove rows; the choice is made here.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from snapmart.functions.dates import month_range
+
 
 def all_of(predicates: list[Column]) -> Column | None:
     return reduce(lambda a, b: a & b, predicates) if predicates else None
@@ -93,23 +96,41 @@ def keep_places(
     return fact.join(chosen, fact_key, "left_semi")
 
 
-def keep_units(
-    fact: DataFrame, units: DataFrame, fact_key: str, scope: Scope
-) -> DataFrame:
+def _versions(units: DataFrame, scope: Scope, fact_key: str) -> DataFrame:
+    """(fact_key, unit_id) of the facility versions in scope.
+
+    One facility has one version per month, so a chosen facility is a handful of
+    rows and safe to broadcast; the whole table is left to Spark's size check.
+    """
+    rows = where_all(units, scope.unit_predicates()).select(
+        F.col("unit_version").alias(fact_key), "unit_id"
+    )
+    return F.broadcast(rows) if scope.unit else rows
+
+
+def keep_units(fact: DataFrame, units: DataFrame, fact_key: str, scope: Scope) -> DataFrame:
     """Facts of the chosen facility, matched on its monthly versions."""
     if not scope.unit:
         return fact
-    chosen = where_all(units, scope.unit_predicates()).select(
-        F.col("unit_version").alias(fact_key)
-    )
-    return fact.join(chosen, fact_key, "left_semi")
+    return fact.join(_versions(units, scope, fact_key), fact_key, "left_semi")
 
 
 def with_unit_id(
     fact: DataFrame, units: DataFrame, fact_key: str, scope: Scope = Scope()
 ) -> DataFrame:
     """Add ``unit_id`` through the snapshot key (inner join, optional filter)."""
-    versions = where_all(units, scope.unit_predicates()).select(
-        F.col("unit_version").alias(fact_key), "unit_id"
-    )
-    return fact.join(versions, fact_key)
+    return fact.join(_versions(units, scope, fact_key), fact_key)
+
+
+def snapshots(fact: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Snapshot rows of whole months, pruning ``period`` folders when the table
+    is stored by period."""
+    rows = fact.where(month_range("period_date", start, end))
+    if "period" not in fact.columns:
+        return rows
+    return rows.where(F.col("period").between(start.strftime("%Y%m"), end.strftime("%Y%m")))
+
+
+def snapshot_at(fact: DataFrame, month: dt.date) -> DataFrame:
+    """Snapshot rows of one month: the only way a stock may be summed."""
+    return snapshots(fact, month, month)

@@ -24,6 +24,27 @@ def ensure_text_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return ensure_columns(df, T.StructType([T.StructField(n, T.StringType()) for n in names]))
 
 
+def raw_text(df: DataFrame, names: list[str], keep: list[str] = ()) -> DataFrame:
+    """The wanted raw columns as text, NULL where a file lacks them.
+
+    Codes read as floating point are written out in digits: 12345678.0 becomes
+    ``12345678``, not ``1.2345678E7``.
+    """
+    df = ensure_text_columns(df, names)
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
+
+    def text(name: str) -> Column:
+        c = F.col(name)
+        if not isinstance(types[name.lower()], T.FractionalType) or isinstance(
+            types[name.lower()], T.DecimalType
+        ):
+            return c.cast("string")
+        digits = c.try_cast("decimal(38,10)").cast("string")
+        return F.regexp_replace(F.regexp_replace(digits, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+
+    return df.select(*[text(n).alias(n) for n in names], *keep)
+
+
 def pick(df: DataFrame, names: list[str]) -> DataFrame:
     """Select in contract order."""
     return df.select(*names)

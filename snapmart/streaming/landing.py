@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from snapmart.plans.sync import fingerprint
+from snapmart.plans.sync import fingerprint, upsert_periods
 from snapmart.sources.files import PERIOD, scan_periods, write_periods
 from snapmart.sources.staging import stage
 
@@ -86,27 +86,31 @@ def refresh_changed_periods(
     return query
 
 
-def month_counts(
+def day_counts(
     stream: DataFrame, time: str, keys: list[str], out: str, checkpoint: str, delay: str = "40 days"
 ) -> StreamingQuery:
-    """Running counts per month and keys, replaced in ``out`` after each batch.
+    """Counts per day and keys, kept in a table stored by month.
 
-    State holds one counter per (month, keys), whatever the event rate. The
-    watermark documents how late an event may come; months are kept for good, as
-    the complete result is the report.
+    State holds the days the watermark still leaves open; a batch emits the counts
+    it changed and they replace their older values in the table. Rows later than
+    ``delay`` belong to ``refresh_changed_periods``, which rebuilds from the rows.
     """
     counts = (
         stream.withWatermark(time, delay)
-        .groupBy(F.date_format(time, "yyyy-MM").alias("month"), *keys)
+        .groupBy(F.window(time, "1 day").alias("w"), *keys)
         .agg(F.count("*").alias("n"))
+        .select(F.col("w.start").cast("date").alias("day"), *keys, "n")
+        .withColumn(PERIOD, F.date_format("day", "yyyyMM"))
     )
 
     def publish(rows: DataFrame, number: int) -> None:
-        # The state is read once, then the published table is swapped for it.
-        stage(rows, "counts").coalesce(1).write.mode("overwrite").parquet(out)
+        changed = stage(rows, "counts")
+        touched = [r[0] for r in changed.select(PERIOD).distinct().collect()]
+        if touched:
+            upsert_periods(changed, out, ["day", *keys], touched, "day counts")
 
     query = (
-        counts.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("update")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -114,3 +118,8 @@ def month_counts(
     )
     query.awaitTermination()
     return query
+
+
+def month_counts(days: DataFrame, keys: list[str]) -> DataFrame:
+    """Monthly report over the table ``day_counts`` keeps."""
+    return days.groupBy(F.date_format("day", "yyyy-MM").alias("month"), *keys).agg(F.sum("n").alias("n"))

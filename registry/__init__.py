@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flow", "stock"]
+MODULES = ["flow", "stock", "values"]
 
 
 def load_all():

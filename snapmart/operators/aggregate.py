@@ -105,29 +105,30 @@ def top_n_others(
     """Per group, the ``n`` largest labels and one row for the rest when its sum
     is above 0. ``df`` holds one row per (group, label).
 
-    The rest is the group total less its head, both exact decimals: no group is
-    ever sorted or gathered whole.
+    Group totals come out of the same pass as the rows and are sorted ahead of
+    them; the cut to ``n + 1`` rows per group then happens inside each task, and
+    the rest is the total less the head. No group is sorted or gathered whole.
     """
     amount = F.coalesce(F.col(value), F.lit(0)).cast("decimal(28,6)")
     rows = df.select(*group, F.col(label).alias("_label"), amount.alias("_amount"))
-    head = top_k_per_group(
-        rows, group, [F.col("_amount").desc(), F.col("_label").asc_nulls_last()], n
-    ).select(
-        *group,
-        F.coalesce(F.col("_label").cast("string"), F.lit(missing)).alias(label),
-        "_amount",
+    every = [F.col(g) for g in group]
+    sums = rows.groupingSets([[*every, F.col("_label")], every], *every, F.col("_label")).agg(
+        F.grouping("_label").alias("_total"), F.sum("_amount").cast("decimal(28,6)").alias("_amount")
     )
-    # Totals minus heads as one aggregation: heads enter with the sign turned.
-    rest = (
-        rows.select(*group, "_amount")
-        .unionByName(head.select(*group, (-F.col("_amount")).alias("_amount")))
-        .groupBy(*group)
-        .agg(F.sum("_amount").cast("decimal(28,6)").alias("_amount"))
-        .where(F.col("_amount") > 0)
-        .select(*group, F.lit(others).alias(label), "_amount")
-    )
-    return head.unionByName(rest).select(
-        *group, label, F.col("_amount").cast("double").alias(value)
+    order = [F.col("_total").desc(), F.col("_amount").desc(), F.col("_label").asc_nulls_last()]
+    head = top_k_per_group(sums, group, order, n + 1)
+    is_total = F.col("_total") == 1
+    shown = F.sum(F.when(~is_total, F.col("_amount"))).over(Window.partitionBy(*group))
+    rest = F.col("_amount") - F.coalesce(shown, F.lit(0))
+    named = F.coalesce(F.col("_label").cast("string"), F.lit(missing))
+    return (
+        head.withColumn("_value", F.when(is_total, rest).otherwise(F.col("_amount")))
+        .where(~is_total | (F.col("_value") > 0))
+        .select(
+            *group,
+            F.when(is_total, F.lit(others)).otherwise(named).alias(label),
+            F.col("_value").cast("double").alias(value),
+        )
     )
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapmart.functions.dates import month_range
+from snapmart.functions.dates import month_range, shift_months
 
 
 def all_of(predicates: list[Column]) -> Column | None:
@@ -122,15 +122,31 @@ def with_unit_id(
     return fact.join(_versions(units, scope, fact_key), fact_key)
 
 
+def versions_in(units: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Facility versions of whole months, read off the head of their key.
+
+    A stock row refers to the version of its own month, so the other months
+    cannot match; the bounds reach the Parquet scan.
+    """
+    key = F.col("unit_version")
+    rows = units.where(
+        (key >= start.strftime("%Y%m")) & (key < shift_months(end, 1).strftime("%Y%m"))
+    )
+    return _prune_periods(rows, start, end)
+
+
 def snapshots(fact: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Snapshot rows of whole months, pruning ``period`` folders when the table
     is stored by period."""
-    rows = fact.where(month_range("period_date", start, end))
-    if "period" not in fact.columns:
-        return rows
-    return rows.where(F.col("period").between(start.strftime("%Y%m"), end.strftime("%Y%m")))
+    return _prune_periods(fact.where(month_range("period_date", start, end)), start, end)
 
 
 def snapshot_at(fact: DataFrame, month: dt.date) -> DataFrame:
     """Snapshot rows of one month: the only way a stock may be summed."""
     return snapshots(fact, month, month)
+
+
+def _prune_periods(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    if "period" not in df.columns:
+        return df
+    return df.where(F.col("period").between(start.strftime("%Y%m"), end.strftime("%Y%m")))

@@ -28,7 +28,7 @@ from snapmart.operators.aggregate import (
 )
 from snapmart.operators.filters import (
     Person, Scope, equals_if_given, keep_places, keep_units, snapshot_at, snapshots,
-    where_all, with_unit_id,
+    versions_in, where_all, with_unit_id,
 )
 from snapmart.plans.star import Star
 
@@ -217,12 +217,13 @@ def unit_infrastructure(star: Star, month: str, unit: str | None = None) -> Data
     (unit_id, group, category, quantity), for one facility or for each."""
     day = parse_month(month)
     scope = Scope(unit=unit)
+    versions = versions_in(star.units, day, day)
 
     def stock(fact: DataFrame, kind: str, amount: str, label: str) -> DataFrame:
         rows = keep_units(snapshot_at(fact, day), star.units, "unit_version", scope)
         partial = rows.where(F.col(kind).isNotNull()).groupBy("unit_version", kind).agg(F.sum(amount).alias("_q"))
         return (
-            with_unit_id(partial, star.units, "unit_version", scope)
+            with_unit_id(partial, versions, "unit_version", scope)
             .groupBy("unit_id", kind)
             .agg(total("_q").alias("quantity"))
             .select("unit_id", F.lit(label).alias("group"), F.col(kind).alias("category"), "quantity")
@@ -235,7 +236,7 @@ def unit_infrastructure(star: Star, month: str, unit: str | None = None) -> Data
         .distinct()
     )
     counted = detail_and_total_distinct(
-        with_unit_id(people, star.units, "unit_version", scope), ["unit_id"], "occupation", "person_id"
+        with_unit_id(people, versions, "unit_version", scope), ["unit_id"], "occupation", "person_id"
     )
     staff = counted.where((F.col("is_total") == 1) | F.col("occupation").isNotNull()).select(
         "unit_id",
@@ -361,7 +362,7 @@ def equipment_by_month(
     ).agg(*_equipment_sums())
     placed = keep_places(partial, star.places, "place_id", scope, always=True)
     return two_level(
-        with_unit_id(placed, star.units, "unit_version", scope),
+        with_unit_id(placed, versions_in(star.units, start, end), "unit_version", scope),
         ["month", "unit_id"],
         [F.sum(c).alias(c) for c in ("_quantity", "_in_use", "_public")],
         ["month"],
@@ -396,18 +397,22 @@ def staff_summary(star: Star, first: str, last: str, scope: Scope = EVERYWHERE)
         .groupBy("unit_id", "person_id")
         .agg(F.max("_public").alias("_public"), F.sum("_hours").alias("_hours"), F.sum("_lines").alias("_lines"))
     )
-    per_person = pairs.groupBy("person_id").agg(
-        F.max("_public").alias("_public"), F.sum("_hours").alias("_hours"), F.sum("_lines").alias("_lines")
-    )
-    lines = F.nullif(F.sum("_lines"), F.lit(0))
-    people = per_person.agg(
-        F.count("*").alias("people"),
-        F.count_if("_public").alias("public_people"),
-        rounded(F.sum("_hours") / lines).alias("mean_hours"),
+    # Both roll-ups of the pairs in one pass: a row per person, a row per facility.
+    rolled = pairs.groupingSets([["person_id"], ["unit_id"]], "person_id", "unit_id").agg(
+        F.grouping("unit_id").alias("_is_person"),
+        F.max("_public").alias("_public"),
+        F.sum("_hours").alias("_hours"),
+        F.sum("_lines").alias("_lines"),
+        F.count("*").alias("_n"),
     )
-    per_unit = pairs.groupBy("unit_id").agg(F.count("*").alias("_n"))
-    units = per_unit.agg(mean("_n").alias("mean_people_per_unit"))
-    return side_by_side(people, units).withColumn("has_hours", F.col("mean_hours").isNotNull())
+    is_person = F.col("_is_person") == 1
+    lines = F.nullif(F.sum(F.when(is_person, F.col("_lines"))), F.lit(0))
+    return rolled.agg(
+        F.count_if(is_person).alias("people"),
+        F.count_if(is_person & F.col("_public")).alias("public_people"),
+        rounded(F.sum(F.when(is_person, F.col("_hours"))) / lines).alias("mean_hours"),
+        mean(F.when(~is_person, F.col("_n"))).alias("mean_people_per_unit"),
+    ).withColumn("has_hours", F.col("mean_hours").isNotNull())
 
 
 def top_occupations(
@@ -484,7 +489,7 @@ def _stock_at(
     grouped = rows.groupBy(*grain)
     partial = grouped.agg(*aggs) if aggs else grouped.agg(F.count("*").alias("_rows"))
     placed = keep_places(partial, star.places, "place_id", scope, always=True)
-    return with_unit_id(placed, star.units, "unit_version", scope)
+    return with_unit_id(placed, versions_in(star.units, month, month), "unit_version", scope)
 
 
 def _equipment(star: Star, kind: str | None = None, code: str | None = None) -> DataFrame:

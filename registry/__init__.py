@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flow", "stock", "values"]
+MODULES = ["flow", "stock", "values", "frames"]
 
 
 def load_all():

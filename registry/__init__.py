@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flow", "stock", "values", "frames"]
+MODULES = ["flow", "stock", "values", "frames", "store"]
 
 
 def load_all():

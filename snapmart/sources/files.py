@@ -56,22 +56,25 @@ def scan_named_files(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Flat files ``<prefix>_<state>_<YYYYMM>.parquet`` of the given periods, with
-    ``period`` and ``state`` taken from the file name. No such file: empty."""
-    pattern = re.compile(rf"^{re.escape(prefix)}_.*_?([0-9]{{6}})\.parquet$")
+    ``period`` and ``state`` taken from the name. No such file: empty.
+
+    The name list prunes, so months not asked for are never opened.
+    """
+    shape = rf"{re.escape(prefix)}_([^/]+)_([0-9]{{6}})\.parquet"
     names = [
         n
         for n in child_names(spark, root)
-        if (m := pattern.match(n)) and (periods is None or m.group(1) in periods)
+        if (m := re.fullmatch(shape, n)) and (periods is None or m.group(2) in periods)
     ]
     if not names:
         base = schema or T.StructType()
         return empty(spark, T.StructType(base.fields + _name_fields()))
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    file_name = F.col("_metadata.file_name")
+    path = F.col("_metadata.file_path")
     return reader.parquet(*[f"{root}/{n}" for n in names]).withColumns(
         {
-            PERIOD: F.regexp_extract(file_name, r"([0-9]{6})\.parquet$", 1),
-            "state": F.upper(F.regexp_extract(file_name, rf"^{prefix}_(.+)_[0-9]{{6}}\.parquet$", 1)),
+            PERIOD: F.regexp_extract(path, shape, 2),
+            "state": F.upper(F.regexp_extract(path, shape, 1)),
         }
     )
 

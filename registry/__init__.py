@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flow", "stock", "values", "frames", "store"]
+MODULES = ["flow", "stock", "values", "frames", "store", "layers"]
 
 
 def load_all():

@@ -40,23 +40,31 @@ def zero_fill(c: Column, width: int) -> Column:
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
+def pad_digits(code: Column | str, width: int) -> Column:
+    """``pad_code`` for text that is normalised already."""
+    c = as_col(code)
+    short = c.rlike(f"^[0-9]{{1,{max(width - 1, 1)}}}$")
+    return F.when(short, F.lpad(c, width, "0")).otherwise(c)
+
+
 def pad_code(c: Column | str, width: int) -> Column:
     """Zero-fill all-digit codes to ``width``; other codes pass unchanged."""
-    code = normalise_code(c)
-    return F.when(code.rlike(r"^[0-9]+$"), zero_fill(code, width)).otherwise(code)
+    return pad_digits(normalise_code(c), width)
 
 
 def strip_zeros(c: Column | str) -> Column:
     """Drop leading zeros of all-digit codes; an all-zero code becomes ``0``."""
-    code = normalise_code(c)
-    bare = F.regexp_replace(code, r"^0+(?=[0-9])", "")
-    return F.when(code.rlike(r"^[0-9]+$"), bare).otherwise(code)
+    return F.regexp_replace(normalise_code(c), r"^0+(?=[0-9]+$)", "")
+
+
+def digits_only(c: Column | str) -> Column:
+    """The digits of a text, without a float's trailing ``.0``."""
+    return F.regexp_replace(as_col(c).cast("string"), r"\.0\s*$|[^0-9]", "")
 
 
 def digits_code(c: Column | str, width: int) -> Column:
     """Only the digits of a code, zero-filled; NULL when there are none."""
-    digits = F.nullif(F.regexp_replace(normalise_code(c), r"[^0-9]+", ""), F.lit(""))
-    return zero_fill(digits, width)
+    return zero_fill(F.nullif(digits_only(c), F.lit("")), width)
 
 
 def catalog_code(c: Column | str) -> Column:

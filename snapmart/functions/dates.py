@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
-from snapmart.functions.codes import as_col, normalise_code, pad_code
+from snapmart.functions.codes import as_col, digits_only, normalise_code, pad_code
 
 # The span of plausible dates.
 DATE_MIN = dt.date(1910, 1, 1)
@@ -91,7 +91,8 @@ def in_month(c: Column | str, month: dt.date) -> Column:
 
 def same_period(c: Column | str, period: Column | str) -> Column:
     """True when the date falls in the ``YYYYMM`` period; NULL dates drop out."""
-    return period_key(c) == as_col(period)
+    # Wrapped, so that no separate NOT NULL test repeats the parsing per row.
+    return F.coalesce(F.trunc(as_col(c), "MM") == period_start(period), F.lit(False))
 
 
 # ---- values -----------------------------------------------------------------
@@ -107,40 +108,54 @@ def is_outlier(c: Column | str, lo: dt.date = DATE_MIN, hi: dt.date = DATE_MAX)
     return F.coalesce(~as_col(c).between(F.lit(lo), F.lit(hi)), F.lit(False))
 
 
+# The parsers below mention their argument once. Spark copies an expression for every
+# mention when it pushes a filter on the parsed date towards the scan, and chained
+# mentions multiply. ISO text is cast, not formatted: the cast is a hand-written
+# parser that answers NULL where a formatter would throw and catch.
+
 def parse_ymd(c: Column | str) -> Column:
     """Strict ``YYYYMMDD`` text as a date, else NULL."""
-    text = normalise_code(c)
-    return F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
+    pattern = r"(?s)^(?:\s*([0-9]{4})([0-9]{2})([0-9]{2})(?:\.0)?\s*|.*)$"
+    return F.regexp_replace(as_col(c).cast("string"), pattern, "$1-$2-$3").try_cast("date")
 
 
-def parse_period(
-    c: Column | str, lo: dt.date = DATE_MIN, hi: dt.date = DATE_MAX
-) -> Column:
+def parse_period(c: Column | str) -> Column:
     """``YYYYMM`` or ``MMYYYY`` text as the first day of that month.
 
-    The span is applied to the first reading before the second is tried:
-    ``092010`` is September 2010, not month 10 of the year 920.
+    Text that starts with a month is read month first: ``092010`` is September
+    2010. Year first it would be a year before 1300, which no date here can be.
     """
-    digits = F.regexp_replace(normalise_code(c), r"[^0-9]", "")
-    six = F.when(F.length(digits) == 6, digits)
-    year_first = bounded(F.try_to_date(F.concat(six, F.lit("01")), "yyyyMMdd"), lo, hi)
-    month_first = F.try_to_date(F.concat(F.lit("01"), six), "ddMMyyyy")
-    return F.coalesce(year_first, month_first)
+    pattern = r"^(?:(0[1-9]|1[0-2])([0-9]{4})|([0-9]{4})([0-9]{2})|.*)$"
+    return F.regexp_replace(digits_only(c), pattern, "$2$3-$1$4-01").try_cast("date")
 
 
 def year_month_date(year: Column | str, month: Column | str) -> Column:
     """Separate year and month texts as the first day of that month."""
-    return parse_ymd(F.concat(pad_code(year, 4), pad_code(month, 2), F.lit("01")))
+    joined = F.concat_ws("-", as_col(year).cast("string"), as_col(month).cast("string"))
+    pattern = r"^(?:\s*([0-9]{4})(?:\.0)?\s*-\s*(0?[1-9]|1[0-2])(?:\.0)?\s*|.*)$"
+    return F.regexp_replace(joined, pattern, "$1-$2-01").try_cast("date")
+
+
+def period_start(period: Column | str) -> Column:
+    """First day of a ``YYYYMM`` period."""
+    return F.regexp_replace(as_col(period), r"^([0-9]{4})([0-9]{2})$", "$1-$2-01").try_cast("date")
 
 
 def period_key(c: Column | str) -> Column:
-    return F.date_format(as_col(c), "yyyyMM")
+    """``YYYYMM`` of a date, by arithmetic: a formatter costs ten times as much."""
+    d = as_col(c)
+    return F.lpad((F.year(d) * 100 + F.month(d)).cast("string"), 6, "0")
 
 
 def month_label(c: Column | str) -> Column:
     return F.date_format(as_col(c), "yyyy-MM")
 
 
+def month_of(c: Column | str) -> Column:
+    """First day of the month: the cheap key to group rows by before labelling."""
+    return F.trunc(as_col(c), "MM")
+
+
 def snapshot_key(
     date: Column | str,
     code: Column | str,

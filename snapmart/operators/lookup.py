@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snapmart.functions.codes import blank_to_null, catalog_code, clean_text, normalise_code
 from snapmart.operators.aggregate import latest_per_key, top_k_per_group
@@ -154,12 +155,16 @@ def _match(
     return df.join(known, condition, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
-def lookup_from(spark, mapping: dict) -> DataFrame:
-    """A small in-memory mapping as a lookup frame; pair keys give (group, code, text)."""
+def lookup_from(spark: SparkSession, mapping: dict) -> DataFrame:
+    """A small in-memory mapping as a lookup frame; pair keys give (group, code, text).
+
+    Built from an Arrow table, so that Spark knows its size and broadcasts it.
+    """
     rows = [(*k, v) if isinstance(k, tuple) else (k, v) for k, v in mapping.items()]
-    paired = bool(rows) and len(rows[0]) == 3
-    schema = "group string, code string, text string" if paired else "code string, text string"
-    return spark.createDataFrame(rows, schema)
+    names = ["group", "code", "text"] if rows and len(rows[0]) == 3 else ["code", "text"]
+    columns = zip(*rows) if rows else ([] for _ in names)
+    text = pa.schema([(n, pa.string()) for n in names])
+    return spark.createDataFrame(pa.table([list(c) for c in columns], schema=text))
 
 
 def normalised_lookup(df: DataFrame, code: str, text: str) -> DataFrame:

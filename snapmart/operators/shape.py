@@ -39,8 +39,9 @@ def raw_text(df: DataFrame, names: list[str], keep: list[str] = ()) -> DataFrame
             types[name.lower()], T.DecimalType
         ):
             return c.cast("string")
-        digits = c.try_cast("decimal(38,10)").cast("string")
-        return F.regexp_replace(F.regexp_replace(digits, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+        whole = (F.abs(c) < 1e15) & (c == F.floor(c))
+        digits = F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"0+$", "")
+        return F.when(whole, c.cast("bigint").cast("string")).otherwise(digits)
 
     return df.select(*[text(n).alias(n) for n in names], *keep)
 

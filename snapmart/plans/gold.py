@@ -38,10 +38,8 @@ def _version(df: DataFrame) -> DataFrame:
 
 
 def units(silver: DataFrame) -> DataFrame:
-    df = _version(silver).withColumns(
-        {"unit_id": pad_code("unit_id", 7), "place_id": pad_code("place_id", 6)}
-    )
-    return shaped(df, "units")
+    df = _version(silver).withColumn("place_id", pad_code("place_id", 6))
+    return shaped(df.withColumn("unit_id", F.substring("unit_version", 7, 100)), "units")
 
 
 def admissions(silver: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from snapmart.functions.codes import is_yes
 from snapmart.functions.dates import (
-    check_month_range, day_range, month_label, parse_month, stay_days,
+    check_month_range, day_range, month_label, month_of, parse_month, stay_days,
 )
 from snapmart.operators.aggregate import (
     AGE_BANDS, banded, detail_and_total_distinct, distinct_count, distinct_if, distinct_values,
@@ -84,11 +84,8 @@ def overview(star: Star, start: dt.date, end: dt.date, scope: Scope = EVERYWHERE
 
 def admissions_by_month(star: Star, start: dt.date, end: dt.date, scope: Scope = EVERYWHERE) -> DataFrame:
     rows = _admissions(star, start, end, scope)
-    return (
-        rows.groupBy(month_label("entry_date").alias("month"))
-        .agg(F.count("*").alias("admissions"))
-        .orderBy("month")
-    )
+    counts = rows.groupBy(month_of("entry_date").alias("month")).agg(F.count("*").alias("admissions"))
+    return _labelled(counts).orderBy("month")
 
 
 def top_units_by_admissions(
@@ -172,10 +169,10 @@ def admissions_per_unit_by_month(
         star.admissions.where(day_range("entry_date", start, end)), star.units, "unit_version", scope
     )
     per_version = rows.groupBy(
-        month_label("entry_date").alias("month"), "care_place", "unit_version"
+        month_of("entry_date").alias("month"), "care_place", "unit_version"
     ).agg(F.count("*").alias("_n"))
     placed = keep_places(per_version, star.places, "care_place", scope, always=True)
-    return two_level(
+    months = two_level(
         with_unit_id(placed, star.units, "unit_version", scope),
         ["month", "unit_id"],
         [F.sum("_n").alias("_n")],
@@ -185,7 +182,8 @@ def admissions_per_unit_by_month(
             mean("_n").alias("mean_per_unit"),
             rounded(F.median("_n")).alias("median_per_unit"),
         ],
-    ).orderBy("month")
+    )
+    return _labelled(months).orderBy("month")
 
 
 def top_units_by_icu_days(
@@ -358,10 +356,10 @@ def equipment_by_month(
     rows = snapshots(_equipment(star, kind, code), start, end)
     rows = keep_units(rows, star.units, "unit_version", scope)
     partial = rows.groupBy(
-        month_label("period_date").alias("month"), "place_id", "unit_version"
+        month_of("period_date").alias("month"), "place_id", "unit_version"
     ).agg(*_equipment_sums())
     placed = keep_places(partial, star.places, "place_id", scope, always=True)
-    return two_level(
+    months = two_level(
         with_unit_id(placed, versions_in(star.units, start, end), "unit_version", scope),
         ["month", "unit_id"],
         [F.sum(c).alias(c) for c in ("_quantity", "_in_use", "_public")],
@@ -371,7 +369,8 @@ def equipment_by_month(
             mean("_in_use").alias("mean_in_use"),
             mean("_public").alias("mean_public"),
         ],
-    ).orderBy("month")
+    )
+    return _labelled(months).orderBy("month")
 
 
 # ---- staff ----------------------------------------------------------------------
@@ -504,5 +503,10 @@ def _equipment_sums() -> list[Column]:
     ]
 
 
+def _labelled(months: DataFrame) -> DataFrame:
+    """Month dates as ``YYYY-MM``, once per group instead of once per row."""
+    return months.withColumn("month", month_label("month"))
+
+
 def _with_names(df: DataFrame, star: Star) -> DataFrame:
     return df.join(star.names.select("unit_id", "trade_name", "legal_name"), "unit_id", "left")

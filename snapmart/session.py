@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Overwriting touches only the partitions present in the data.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Conforming a wide raw file makes large generated methods. Above 8000 bytes
+    # the JVM never compiles them; Spark then generates smaller pieces instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

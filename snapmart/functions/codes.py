@@ -69,7 +69,7 @@ def digits_code(c: Column | str, width: int) -> Column:
 
 def catalog_code(c: Column | str) -> Column:
     """Upper-case code without dots, the form used by disease catalogs."""
-    return F.replace(F.upper(normalise_code(c)), F.lit("."), F.lit(""))
+    return F.replace(F.upper(clean_text(c)), F.lit("."), F.lit(""))
 
 
 def present_text(c: Column | str) -> Column:

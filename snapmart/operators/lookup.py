@@ -53,6 +53,8 @@ def load_catalog(
     df = slug_headers(df.drop(*[c for c in df.columns if not c.strip() or c.startswith("_c")]))
     code = resolve_header(df.columns, code_candidates, list(code_hints))
     text = resolve_header(df.columns, text_candidates, list(text_hints))
+    if code == text:
+        raise ValueError(f"one column, {code}, would be both code and text; wrong separator?")
     rows = df.withColumns({"code": F.nullif(clean(code), F.lit("")), "text": blank_to_null(text)})
     return first_per_code(rows.where(F.col("code").isNotNull() & F.col("text").isNotNull()), order)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry.core import table
-from snapmart.functions.dates import period_key, snapshot_key
+from snapmart.functions.dates import period_key
 from snapmart.plans.star import Star
 
 NEEDS = {  # star table -> test tables joined to lineitem for it
@@ -52,7 +52,8 @@ def _lines(t, others: tuple[str, ...]) -> DataFrame:
 
 
 _MONTH = lambda: F.trunc("l_shipdate", "MM")
-_VERSION = lambda: snapshot_key("l_shipdate", "l_suppkey").alias("unit_version")
+_SUPPLIER = lambda: F.lpad(F.col("l_suppkey").cast("string"), 7, "0")
+_VERSION = lambda: F.concat(period_key("l_shipdate"), _SUPPLIER()).alias("unit_version")
 _PLACE = lambda: F.col("s_nationkey").cast("string")
 
 
@@ -69,10 +70,9 @@ def _units(lines: DataFrame, supplier: DataFrame) -> DataFrame:
     months = lines.select("l_suppkey", _MONTH().alias("period_date")).distinct()
     balance = F.col("s_acctbal")
     kind = F.when(balance < 0, "debt").when(balance < 3000, "small").when(balance < 6000, "medium")
-    key = snapshot_key("period_date", "l_suppkey")
     return months.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        key.alias("unit_version"),
-        F.substring(key, 7, 20).alias("unit_id"),
+        F.concat(period_key("period_date"), _SUPPLIER()).alias("unit_version"),
+        _SUPPLIER().alias("unit_id"),
         "period_date",
         kind.otherwise("large").alias("unit_kind"),
         _PLACE().alias("place_id"),

@@ -32,7 +32,9 @@ def blank_to_null(c: Column | str) -> Column:
 
 def normalise_code(c: Column | str) -> Column:
     """Trimmed text without the ``.0`` that a float read-in leaves behind."""
-    return F.regexp_replace(clean_text(c), r"\.0$", "")
+    text = clean_text(c)
+    # Byte comparison and cut: several times cheaper per row than a pattern.
+    return F.when(text.endswith(".0"), F.substring(text, F.lit(1), F.length(text) - 2)).otherwise(text)
 
 
 def zero_fill(c: Column, width: int) -> Column:

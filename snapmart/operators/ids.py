@@ -6,9 +6,9 @@ numbered by *position in partition + rows in earlier partitions*:
 
 * one range shuffle, whatever the size of a group: a month, or a key that repeats
   in a third of all rows, spans as many partitions as it needs;
-* rows equal in every column are told apart by a counter taken after a local
-  sort, so a repeated row can be split as well and a re-run task gives the same
-  numbers;
+* rows equal in every column are told apart by the input partition they came from,
+  so a repeated row is split too, in pieces no larger than an input partition; a
+  re-run task gives its rows the same place;
 * what is broadcast is one row per partition and group border, so its size is
   bounded by the partition count, not by the data.
 """
@@ -39,13 +39,11 @@ def stage_in_order(df: DataFrame, order_by: list[str]) -> DataFrame:
     Order: ``order_by`` ascending, NULLs last, then a hash of the whole row, so
     only rows equal throughout are interchangeable.
     """
-    order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_hash")]
+    order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_hash"), F.col("_tie")]
     ranged = (
-        df.withColumn("_hash", row_hash(df.columns))
+        df.withColumns({"_hash": row_hash(df.columns), "_tie": F.spark_partition_id()})
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*order, F.col("_tie"))
-        .sortWithinPartitions(*order, F.col("_tie"))
         .withColumn("_pos", F.monotonically_increasing_id())
         .drop("_hash", "_tie")
     )

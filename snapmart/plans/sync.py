@@ -70,7 +70,10 @@ def period_of(spec: TableSpec) -> Column:
 
 
 def with_period(df: DataFrame, spec: TableSpec) -> DataFrame:
-    return rename_aliases(df, spec.aliases).withColumn(PERIOD, period_of(spec))
+    """The rows with their month. A frame stored by month keeps its folder column,
+    so that reading the changed months again opens only their folders."""
+    named = rename_aliases(df, spec.aliases)
+    return named if PERIOD in named.columns else named.withColumn(PERIOD, period_of(spec))
 
 
 def fingerprint(df: DataFrame, period: str = PERIOD, exclude: list[str] = ()) -> DataFrame:
@@ -286,6 +289,8 @@ class Store:
         try:
             self._check_columns(spec, rows)
             plan = sync_plan(fingerprint(rows), ledger_current(ledger), self.counts(spec)).collect()
+            if any(r[PERIOD] is None for r in plan):
+                raise ValueError(f"{spec.name}: row without a valid period")
             changed = sorted((r for r in plan if r["action"] == UPDATE), key=lambda r: r[PERIOD])
             if changed:
                 self._apply(spec, rows, path, changed)

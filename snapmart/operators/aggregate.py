@@ -214,8 +214,12 @@ def detail_and_total_distinct(
     )
 
 
-def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct non-null values of several columns as (column, value), one scan."""
+def distinct_values(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
+    """Distinct non-null values of several columns as (keys, column, value), one scan.
+
+    Listing values instead of combinations keeps the result additive: a key has
+    as many rows as its columns have values, not as many as their product.
+    """
     pairs = F.explode(
         F.array(
             *[
@@ -225,8 +229,8 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
         )
     )
     return (
-        df.select(pairs.alias("p"))
-        .select("p.column", "p.value")
+        df.select(*keys, pairs.alias("p"))
+        .select(*keys, "p.column", "p.value")
         .where(F.col("value").isNotNull())
         .distinct()
     )

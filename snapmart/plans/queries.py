@@ -443,11 +443,11 @@ def filter_values(star: Star, start: dt.date, end: dt.date, scope: Scope = EVERY
     rows = keep_units(
         star.admissions.where(day_range("entry_date", start, end)), star.units, "unit_version", scope
     )
-    # Joins see distinct combinations, not admissions.
-    combos = rows.select("care_place", "unit_version", *columns).distinct()
-    placed = keep_places(combos, star.places, "care_place", scope, always=True)
-    kept = with_unit_id(placed, star.units, "unit_version", scope)
-    return distinct_values(kept, columns).orderBy("column", "value")
+    # The joins see the distinct values of each facility version, not admissions.
+    values = distinct_values(rows, columns, ["care_place", "unit_version"])
+    placed = keep_places(values, star.places, "care_place", scope, always=True)
+    kept = placed.join(star.units.select("unit_version"), "unit_version", "left_semi")
+    return kept.select("column", "value").distinct().orderBy("column", "value")
 
 
 def demographics(

@@ -196,10 +196,10 @@ LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 
 
 @query("block_ids", f"""
-SELECT ((CAST(period[1:4] AS BIGINT) - 1990) * 12 + CAST(period[5:6] AS BIGINT)) * 10000000
+SELECT ((CAST(period[1:4] AS BIGINT) - 1990) * 12 + CAST(period[5:6] AS BIGINT)) * 1000000000000
   + row_number() OVER (PARTITION BY period ORDER BY {ORDERED}) AS id, * FROM ({LINES})""")
 def block_ids(spark, d):
-    return ids.block_ids(lines(spark, d), "period", LINE_ORDER, "id", base_year=1990)
+    return ids.block_ids(lines(spark, d), "period", LINE_ORDER, "id", base_year=1990, block=10**12)
 
 
 @query("row_sequence", f"""

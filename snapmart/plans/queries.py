@@ -205,8 +205,10 @@ def top_units_by_icu_days(
 def latest_licence(star: Star, unit: str | None = None) -> DataFrame:
     """The most recent licence of a facility, or of each facility."""
     held = star.licences.where(F.col("licence").isNotNull()).select("unit_version", "licence", "issued_on")
-    rows = with_unit_id(held, star.units, "unit_version", Scope(unit=unit))
     order = [F.col("issued_on").desc_nulls_last(), F.col("licence")]
+    # One licence per version first: the join on the version reuses that shuffle.
+    newest = latest_per_key(held, ["unit_version"], order)
+    rows = with_unit_id(newest, star.units, "unit_version", Scope(unit=unit))
     return latest_per_key(rows.select("unit_id", "licence", "issued_on"), ["unit_id"], order)
 
 

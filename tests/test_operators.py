@@ -1,5 +1,5 @@
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F, types as T

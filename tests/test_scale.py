@@ -80,3 +80,13 @@ def test_source_stored_by_month_is_pruned_on_reload(spark, tmp_path):
     rows = with_period(spark.read.parquet(str(tmp_path / "s")), spec).where(F.col("period").isin(["202502"]))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "202502" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_staged_tables_go_to_the_shared_folder(spark):
+    from snapmart.sources import staging
+
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert staging.staging_root(spark).startswith(root)
+    staged = staging.stage(spark.range(10), "numbers")
+    assert staged.count() == 10
+    assert all(f.startswith(f"file:{root}") for f in staged.inputFiles())

@@ -89,4 +89,4 @@ def test_staged_tables_go_to_the_shared_folder(spark):
     assert staging.staging_root(spark).startswith(root)
     staged = staging.stage(spark.range(10), "numbers")
     assert staged.count() == 10
-    assert all(f.startswith(f"file:{root}") for f in staged.inputFiles())
+    assert all(root in f for f in staged.inputFiles())

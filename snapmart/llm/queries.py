@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import simhash
+from snapmart.llm import decontam, simhash, substrings
 from snapmart.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,38 @@ def query(name: str, sql: str | None = None):
 def op1_simhash(spark, d):
     groups = simhash.near_groups(table(spark, d, "documents"))
     return groups.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op4_decontaminate", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+p AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+q AS (SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS t FROM p, (SELECT DISTINCT n FROM win) WHERE i + n - 1 <= len(w)),
+m AS (SELECT r, i, q.n, item_id FROM q JOIN win ON q.n = win.n AND q.t = win.t),
+h AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS x FROM m) GROUP BY r),
+s AS (SELECT r, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS v FROM m WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN s USING (r)""")
+def op4_decontaminate(spark, d):
+    found = decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op3_substrings", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+v AS (SELECT r, doc_id, i, array_to_string(w[i : i + 49], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT t, min(doc_id) AS m FROM v GROUP BY t),
+x AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS j FROM v JOIN f USING (t) WHERE doc_id > m),
+g AS (SELECT r, count(*) AS n FROM x GROUP BY r),
+k AS (SELECT u.r, string_agg(u.w[u.j], ' ' ORDER BY u.j) AS kept
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS j FROM d) AS u LEFT JOIN x ON u.r = x.r AND u.j = x.j WHERE x.r IS NULL GROUP BY u.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (r) LEFT JOIN k USING (r)""")
+def op3_substrings(spark, d):
+    return substrings.repeated_passages(table(spark, d, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")

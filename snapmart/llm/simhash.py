@@ -107,7 +107,8 @@ def links(distinct: DataFrame, distance: int = 3, crowded: int = 1000) -> DataFr
     the chain allows (one bit); of two values a bit apart, the one with the bit set
     clears it, so a fingerprint makes about nine rows a segment. Buckets with more
     than ``crowded`` fingerprints are joined by the third segment too, within its
-    budget. Either way is complete: no bucket is cut.
+    budget. Either way is complete: no bucket is cut. The joins are merge joins by
+    hint: Spark takes the rows for as few as the fingerprints they come from.
     """
     if not 0 <= distance < SEGMENTS:
         raise ValueError(f"distance must be below {SEGMENTS}, the number of segments")
@@ -122,11 +123,11 @@ def links(distinct: DataFrame, distance: int = 3, crowded: int = 1000) -> DataFr
 
     full = staged(own.groupBy("i", "key").count().where(F.col("count") > crowded).select("i", "key"), "crowded")
     if full.isEmpty():
-        return _checked(x.join(y, ["i", "key"]), distance, budget)
+        return _checked(x.hint("merge").join(y, ["i", "key"]), distance, budget)
     flips = F.transform(F.array(*map(F.lit, _masks(budget[3]))), lambda m: F.col("s2").bitwiseXOR(m))
     dense = y.join(full, ["i", "key"], "left_semi").withColumn("s2", F.explode(flips))
-    sparse = x.join(full, ["i", "key"], "left_anti").join(y, ["i", "key"])
-    crossed = x.join(full, ["i", "key"], "left_semi").join(dense, ["i", "key", "s2"])
+    sparse = x.join(full, ["i", "key"], "left_anti").hint("merge").join(y, ["i", "key"])
+    crossed = x.join(full, ["i", "key"], "left_semi").hint("merge").join(dense, ["i", "key", "s2"])
     return _checked(sparse, distance, budget).unionByName(_checked(crossed, distance, budget))
 
 
@@ -157,7 +158,7 @@ def near_groups(docs: DataFrame, k: int = 3, distance: int = 3, doc_id: str = "d
     roots = nodes.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("named"))
     linked = nodes.join(roots, "root")
     named = distinct.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("named", "least").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+    return prints.join(staged(named, "named"), "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 3, distance: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,3 +54,8 @@ def utf8(c: Column | str) -> Column:
     """The UTF-8 bytes of a text, null as none."""
     c = F.col(c) if isinstance(c, str) else c
     return F.coalesce(c, F.lit("")).cast("binary")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

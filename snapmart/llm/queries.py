@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import decontam, simhash, substrings
+from snapmart.llm import decontam, quality, simhash, substrings
 from snapmart.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
 FROM d LEFT JOIN g USING (r) LEFT JOIN k USING (r)""")
 def op3_substrings(spark, d):
     return substrings.repeated_passages(table(spark, d, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op10_quality", """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+g AS (SELECT r, i, array_to_string(w[i : i + 4], ' ') AS t FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+x AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS j FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS c FROM g) WHERE c > 1) GROUP BY r),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, length(regexp_replace(t, '\\P{L}+', '', 'g')) AS n_letters,
+  len(l) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+  len(list_filter(l, lambda x: regexp_matches(x, '^[\\x20\\x09]*[-*\\x{2022}]'))) AS n_bullets,
+  len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|\\x{2026})[\\x20\\x09-\\x0D]*$'))) AS n_ellipses
+  FROM w LEFT JOIN x USING (r)),
+f AS (SELECT *, CAST((CASE WHEN n_words < 10 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END)
+  + (CASE WHEN word_chars < 2 * n_words THEN 4 ELSE 0 END) + (CASE WHEN word_chars > 20 * n_words THEN 8 ELSE 0 END)
+  + (CASE WHEN 10 * n_symbols > 3 * n_words THEN 16 ELSE 0 END) + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 32 ELSE 0 END)
+  + (CASE WHEN 2 * n_letters < word_chars THEN 64 ELSE 0 END) + (CASE WHEN 10 * n_bullets > 9 * n_lines THEN 128 ELSE 0 END)
+  + (CASE WHEN 10 * n_ellipses > 3 * n_lines THEN 256 ELSE 0 END) + (CASE WHEN n_words > 1000000 THEN 512 ELSE 0 END) AS BIGINT) AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, (failed & 3) <> 0 AS base_failed, (failed & 511) = 0 AS kept FROM f""")
+def op10_quality(spark, d):
+    rows = quality.ledger(table(spark, d, "documents"), ["doc_id"])
+    measures = (f"m.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
+    return rows.select(
+        "doc_id", *measures, "failed",
+        quality.rejected(quality.POLICIES[1]).alias("base_failed"),
+        (~quality.rejected(quality.POLICIES[quality.CURRENT])).alias("kept"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import decontam, quality, simhash, substrings
+from snapmart.llm import decontam, licenses, quality, secrets, simhash, substrings
 from snapmart.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,24 @@ def op10_quality(spark, d):
         quality.rejected(quality.POLICIES[1]).alias("base_failed"),
         (~quality.rejected(quality.POLICIES[quality.CURRENT])).alias("kept"),
     )
+
+
+@query("op5_secrets")
+def op5_secrets(spark, d):
+    found = secrets.secrets(table(spark, d, "documents"), ["doc_id"])
+    counts = (secrets.number(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex"))
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query("op6_licenses")
+def op6_licenses(spark, d):
+    rows = licenses.licenses(table(spark, d, "documents"), ["doc_id"])
+    own = licenses.labels(F.col("base"))
+    return rows.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min("base")["start"].cast("long").alias("first_word"),
+        F.array_max(F.transform("base", lambda h: h["start"])).cast("long").alias("last_word"),
+        F.array_join(own, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(own, licenses.labels(F.col("found")))), ",").alias("labels"),
+        licenses.score(F.col("found"), F.col("base")).alias("score"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import decontam, licenses, quality, secrets, simhash, substrings
+from snapmart.llm import decontam, langid, licenses, quality, secrets, simhash, substrings
 from snapmart.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,10 @@ def op6_licenses(spark, d):
         F.array_join(F.array_sort(F.array_union(own, licenses.labels(F.col("found")))), ",").alias("labels"),
         licenses.score(F.col("found"), F.col("base")).alias("score"),
     )
+
+
+@query("op9_language")
+def op9_language(spark, d):
+    docs = table(spark, d, "documents")
+    found = langid.identified(docs, langid.train(docs), ["doc_id"])
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

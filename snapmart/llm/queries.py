@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import decontam, langid, licenses, quality, secrets, simhash, substrings
+from snapmart.llm import decontam, langid, licenses, packing, quality, secrets, sharding, simhash, substrings
 from snapmart.llm.common import prepared, table
+from snapmart.sources.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +120,14 @@ def op9_language(spark, d):
     docs = table(spark, d, "documents")
     found = langid.identified(docs, langid.train(docs), ["doc_id"])
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_sharding")
+def op2_sharding(spark, d):
+    rows = sharding.placed(table(spark, d, "documents"), 40, new_path(spark, "slot-map"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
+
+
+@query("op7_packing")
+def op7_packing(spark, d):
+    return packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))

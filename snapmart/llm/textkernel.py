@@ -146,8 +146,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(column: pa.Array, table: np.ndarray) -> Words:
-    """The words of a string column without nulls; ``table`` is one of the byte tables above."""
+def words(column: pa.Array, table: np.ndarray, kinds: np.ndarray | None = None) -> Words:
+    """The words of a string column without nulls; ``table`` is one of the byte tables above.
+
+    With ``kinds`` (1 or 2 for some bytes), a word is also cut between a byte of the one kind and one of the other.
+    """
     raw, bounds = text_bytes(column)
     data = table[raw]
     inside = data != 0
@@ -155,10 +158,18 @@ def words(column: pa.Array, table: np.ndarray) -> Words:
         return Words(data, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(column) + 1, np.int64))
     before = np.empty_like(inside)
     before[0], before[1:] = False, inside[:-1]
+    cuts = None
+    if kinds is not None:
+        kind = kinds[raw]
+        cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+        cuts = cuts[(kind[cuts] > 0) & (kind[cuts - 1] > 0)]
+        before[cuts] = False
     before[bounds[:-1][bounds[:-1] < len(data)]] = False
     after = np.empty_like(inside)
     after[-1], after[:-1] = False, inside[1:]
     after[bounds[1:][bounds[1:] > 0] - 1] = False
+    if cuts is not None:
+        after[cuts - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
     first = np.searchsorted(start, bounds)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import decontam, langid, licenses, packing, quality, secrets, sharding, simhash, substrings
+from snapmart.llm import decontam, extraction, langid, licenses, packing, quality, secrets, sharding, simhash, substrings
 from snapmart.llm.common import prepared, table
 from snapmart.sources.staging import new_path
 
@@ -131,3 +131,10 @@ def op2_sharding(spark, d):
 @query("op7_packing")
 def op7_packing(spark, d):
     return packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_extraction")
+def op8_extraction(spark, d):
+    pages = table(spark, d, "pages")
+    found = extraction.extracted(pages, extraction.train(pages), ["page_id", "url"])
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -22,10 +22,22 @@ WORD = "[^" + "".join(f"\\x{b:02X}" for b in range(128) if not chr(b).isalnum())
 HIT = "array<struct<start:int,past:int,priority:int,rank:int,label:string>>"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = signatures()
-#: Words of which a text must hold one, as a part of it, for any keyword to be there.
-GATES = ("licen", "reserv", "copyright", "cc", "gpl", "mpl", "epl", "spdx", "commons", "apache", "bsd", "public domain", "software",
-         "warrant", "permi", "granted", "commercial", "confidential", "unauthorized", "vorbehalten", "tous droits", "licenses", "wtfpl",
-         "unencumbered", "redistribut", "advertising materials", "merchantability", "mozilla", "illinois", "as is basis", "endorse", "misrepresented", "historical")
+
+
+def _gates() -> list[str]:
+    """Words one of which stands in every keyword, few of them: each next one is in the most keywords left.
+    Short words, which many texts hold, are taken only from keywords that have no longer one."""
+    left, out = {r.keyword for r in RULES} | {p for p, _ in BASE}, []
+    while left:
+        words = {w for k in left for w in k.split() if len(w) >= min(5, max(map(len, k.split())))}
+        best = max(words, key=lambda w: (sum(w in k for k in left), len(w), w))
+        out.append(best)
+        left = {k for k in left if best not in k}
+    return out
+
+
+#: A text without any of these, as a part of it, holds no keyword, whatever stands between its words.
+GATES = _gates()
 
 
 def _ascii_lower(c: Column) -> Column:

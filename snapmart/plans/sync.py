@@ -2,10 +2,11 @@
 
 A month is skipped when its content fingerprint and row counts say nothing
 changed; otherwise it is replaced or upserted as a folder, and the load is noted
-in an append-only ledger. Parquet folders have no multi-table transaction, so
-order gives safety: data is written and counted first, the SUCCESS row comes
-last. A crash in between leaves the ledger behind the data, the next run sees the
-difference and repeats the month; repeating is harmless.
+in an append-only ledger. All months of a load are written beside the table and
+counted there; only then are they moved into place together, and a move that fails
+puts back what was there. The SUCCESS row comes last. A crash after the move leaves
+the ledger behind the data, the next run sees the difference and repeats the month;
+repeating is harmless.
 
 Only month lists and ledger rows reach the driver, never data.
 """
@@ -19,7 +20,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snapmart.functions.dates import key_period, period_key, retention_limit
+from snapmart.functions.dates import is_period, key_period, period_key, retention_limit
 from snapmart.functions.hashing import row_hash
 from snapmart.operators.aggregate import latest_per_key
 from snapmart.operators.quality import assert_pk, assert_reconciled, reconcile, require
@@ -28,8 +29,10 @@ from snapmart.plans.schemas import schema
 from snapmart.sources.files import (
     PERIOD, append_rows, read_or_empty, scan_periods, write_periods, write_table,
 )
-from snapmart.sources.staging import child_names, delete_path, has_data, stage
+from snapmart.sources.staging import child_names, delete_path, discard, has_data, stage
 
+#: Sees what was written before it takes the place of the old rows; raises to keep these.
+Check = Callable[[DataFrame], None] | None
 SUCCESS, FAILURE = "SUCCESS", "FAILURE"
 SKIP, UPDATE = "SKIP", "UPDATE"
 MERGE_TABLE, MERGE_PERIODS, REPLACE_PERIODS = "merge_table", "merge_periods", "replace_periods"
@@ -76,6 +79,15 @@ def with_period(df: DataFrame, spec: TableSpec) -> DataFrame:
     return named if PERIOD in named.columns else named.withColumn(PERIOD, period_of(spec))
 
 
+def assert_periods(df: DataFrame, spec: TableSpec) -> None:
+    """Refuse rows whose month is none, or is not the month of their own date or key."""
+    own = period_key(spec.period_date) if spec.period_date else key_period(spec.period_key)
+    good = is_period(PERIOD) & own.eqNullSafe(F.col(PERIOD))
+    wrong = df.where(~F.coalesce(good, F.lit(False))).select(PERIOD).first()
+    if wrong:
+        raise ValueError(f"{spec.name}: row without a valid period, or of another month than {wrong[0]}")
+
+
 def fingerprint(df: DataFrame, period: str = PERIOD, exclude: list[str] = ()) -> DataFrame:
     """(period, row_count, content_hash), independent of row order and layout.
 
@@ -133,21 +145,23 @@ def has_period_ledger(ledger: DataFrame, table: str) -> bool:
 
 # ---- plan ------------------------------------------------------------------------
 
-def sync_plan(source: DataFrame, ledger: DataFrame, target: DataFrame) -> DataFrame:
+def sync_plan(source: DataFrame, ledger: DataFrame, target: DataFrame, at_least: bool = False) -> DataFrame:
     """(period, action, reason, row_count, content_hash) per source month.
 
     ``source`` is a fingerprint, ``ledger`` the current ledger rows of the table
-    and ``target`` the row counts found in the serving copy.
+    and ``target`` the row counts found in the serving copy. With ``at_least`` the
+    target may hold more rows, as an upserted month keeps those the source lacks.
     """
     noted = ledger.select(
         PERIOD, F.col("content_hash").alias("_hash"), F.col("row_count").alias("_noted"), F.lit(True).alias("_known")
     )
     found = target.select(PERIOD, F.col("row_count").alias("_found"))
     rows = source.join(noted, PERIOD, "left").join(found, PERIOD, "left")
+    enough = F.col("_found") >= F.col("row_count") if at_least else F.col("_found") == F.col("row_count")
     reason = (
         F.when(F.col("_known").isNull(), "new")
         .when(~F.col("_hash").eqNullSafe(F.col("content_hash")), "content changed")
-        .when(~F.col("_found").eqNullSafe(F.col("row_count")), "target count differs")
+        .when(~F.coalesce(enough, F.lit(False)), "target count differs")
         .when(~F.col("_noted").eqNullSafe(F.col("row_count")), "ledger differs")
     )
     action = F.when(reason.isNull(), SKIP).otherwise(UPDATE)
@@ -162,32 +176,38 @@ def merged_rows(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFr
     return source.unionByName(kept.select(*source.columns))
 
 
-def replace_periods(source: DataFrame, path: str, periods: list[str]) -> None:
+def replace_periods(source: DataFrame, path: str, periods: list[str], check: Check = None) -> None:
     """Overwrite the given months with the source's rows."""
-    write_periods(source.where(F.col(PERIOD).isin(periods)), path)
+    write_periods(source.where(F.col(PERIOD).isin(periods)), path, check=check)
 
 
-def upsert_periods(source: DataFrame, path: str, keys: list[str], periods: list[str], table: str = "table") -> None:
-    """Update by key and insert within the given months; nothing is deleted.
+def upsert_periods(source: DataFrame, path: str, keys: list[str], periods: list[str], table: str = "table", check: Check = None) -> None:
+    """Update by key and insert the rows of the given months.
 
-    A key repeated in the source has no defined winner and is refused. The merged
-    months are staged first, as a job cannot overwrite what it is reading.
+    The key alone decides: a stored row with a key of the source goes, whatever its
+    month, so the months that lose a row are written anew too. Nothing else is
+    deleted. A key repeated in the source has no defined winner and is refused. The
+    source is read more than once; pass one that is stored.
     """
     spark = source.sparkSession
     chosen = source.where(F.col(PERIOD).isin(periods))
     assert_pk(chosen, keys, table)
-    if has_data(spark, path):
-        chosen = stage(merged_rows(chosen, scan_periods(spark, path, periods), keys), "upsert")
-    write_periods(chosen, path)
+    if not has_data(spark, path):
+        return write_periods(chosen, path, check=check)
+    elsewhere = spark.read.schema(chosen.schema).parquet(path).select(*keys, PERIOD).where(~F.col(PERIOD).isin(periods))
+    losing = elsewhere.join(chosen.select(*keys).distinct(), keys, "left_semi").select(PERIOD).distinct()
+    losing = sorted(r[0] for r in losing.collect())  # months, not rows
+    stored = scan_periods(spark, path, [*periods, *losing], chosen.schema)
+    write_periods(merged_rows(chosen, stored, keys), path, cleared=losing, check=check)
 
 
-def upsert_table(source: DataFrame, path: str, keys: list[str], table: str = "table") -> None:
+def upsert_table(source: DataFrame, path: str, keys: list[str], table: str = "table", check: Check = None) -> None:
     """Update by key and insert into an unpartitioned table."""
     spark = source.sparkSession
     assert_pk(source, keys, table)
     if has_data(spark, path):
-        source = stage(merged_rows(source, spark.read.parquet(path), keys), "upsert")
-    write_table(source, path)
+        source = merged_rows(source, spark.read.schema(source.schema).parquet(path), keys)
+    write_table(source, path, check=check)
 
 
 def expired_periods(periods: list[str], as_of: dt.date, months: int) -> list[str]:
@@ -226,7 +246,7 @@ class Store:
         return rows.where(F.col("table_name") == table)
 
     def counts(self, spec: TableSpec) -> DataFrame:
-        """Rows per month in the serving copy; only folder names are read."""
+        """Rows per month in the serving copy; no column is read, only file footers."""
         if not has_data(self.spark, self.path(spec.name)):
             return self.spark.createDataFrame([], f"{PERIOD} string, row_count bigint")
         return period_counts(self.spark.read.parquet(self.path(spec.name)))
@@ -247,39 +267,55 @@ class Store:
             self.path("_period_ledger"),
         )
 
-    def load(self, spec: TableSpec, source: DataFrame, file: str, tag: str) -> list[tuple[str, str]]:
-        """Bring one table in step with a source version; (period, reason) updated."""
+    def load(self, spec: TableSpec, source: DataFrame, file: str, tag: str, since: str | None = None) -> list[tuple[str, str]]:
+        """Bring one table in step with a source version; (period, reason) updated.
+
+        Months before ``since`` are left alone in a table with retention, which
+        would drop them again.
+        """
         if already_loaded(self.file_ledger(), spec.name, file, tag):
             return []
         if spec.strategy == MERGE_TABLE:
             return self._load_table(spec, source, file, tag)
-        return self._load_periods(spec, source, file, tag)
+        return self._load_periods(spec, source, file, tag, since if spec.retained else None)
 
-    def load_all(self, sources: dict[str, tuple[DataFrame, str, str]], as_of: dt.date, months: int) -> dict:
+    def load_all(self, sources: dict[str, tuple[DataFrame, str, str]], as_of: dt.date, months: int, tables: list[TableSpec] = TABLES) -> dict:
         """Load the given tables parents first, then apply retention."""
-        done = {s.name: self.load(s, *sources[s.name]) for s in TABLES if s.name in sources}
-        self.retain_all(as_of, months)
+        since = retention_limit(as_of, months).strftime("%Y%m")
+        done = {s.name: self.load(s, *sources[s.name], since) for s in tables if s.name in sources}
+        self.retain_all(as_of, months, tables)
         return done
 
-    def retain_all(self, as_of: dt.date, months: int) -> dict[str, list[str]]:
+    def retain_all(self, as_of: dt.date, months: int, tables: list[TableSpec] = TABLES) -> dict[str, list[str]]:
         """Drop old months, children before the facility versions they refer to."""
         return {
             s.name: retain(self.spark, self.path(s.name), as_of, months)
-            for s in reversed(TABLES)
+            for s in reversed(tables)
             if s.retained
         }
 
     def _load_table(self, spec, source, file, tag) -> list[tuple[str, str]]:
+        fresh = None
         try:
             self._check_columns(spec, source)
-            upsert_table(source, self.path(spec.name), spec.keys, spec.name)
+            fresh = stage(source, "load")
+            rows = fresh.count()
+
+            def check(written: DataFrame) -> None:
+                if written.count() < rows:
+                    raise ValueError(f"{spec.name}: fewer rows written than the source has")
+
+            upsert_table(fresh, self.path(spec.name), spec.keys, spec.name, check)
         except Exception:
             self.note_file(spec, file, tag, None, FAILURE)
             raise
-        self.note_file(spec, file, tag, source.count(), SUCCESS)
+        finally:
+            if fresh is not None:
+                discard(fresh)
+        self.note_file(spec, file, tag, rows, SUCCESS)
         return [("", "upserted")]
 
-    def _load_periods(self, spec, source, file, tag) -> list[tuple[str, str]]:
+    def _load_periods(self, spec, source, file, tag, since) -> list[tuple[str, str]]:
         ledger = self.period_ledger(spec.name)
         path = self.path(spec.name)
         if has_data(self.spark, path) and not has_period_ledger(ledger, spec.name):
@@ -288,10 +324,11 @@ class Store:
         changed: list = []
         try:
             self._check_columns(spec, rows)
-            plan = sync_plan(fingerprint(rows), ledger_current(ledger), self.counts(spec)).collect()
-            if any(r[PERIOD] is None for r in plan):
-                raise ValueError(f"{spec.name}: row without a valid period")
-            changed = sorted((r for r in plan if r["action"] == UPDATE), key=lambda r: r[PERIOD])
+            assert_periods(rows, spec)
+            merging = spec.strategy == MERGE_PERIODS
+            plan = sync_plan(fingerprint(rows), ledger_current(ledger), self.counts(spec), merging).collect()
+            wanted = (r for r in plan if r["action"] == UPDATE and (since is None or r[PERIOD] >= since))
+            changed = sorted(wanted, key=lambda r: r[PERIOD])
             if changed:
                 self._apply(spec, rows, path, changed)
         except Exception:
@@ -306,18 +343,27 @@ class Store:
         return [(r[PERIOD], r["reason"]) for r in changed]
 
     def _apply(self, spec, rows, path, changed) -> None:
+        """Write the changed months, all or none. They are staged, so the source is evaluated once more, not per step."""
         periods = [r[PERIOD] for r in changed]
-        if spec.strategy == REPLACE_PERIODS:
-            replace_periods(rows, path, periods)
-        elif spec.strategy == MERGE_PERIODS:
-            upsert_periods(rows, path, spec.keys, periods, spec.name)
-        else:
-            raise ValueError(f"unknown strategy {spec.strategy}")
         expected = self.spark.createDataFrame(
             [(r[PERIOD], r["row_count"]) for r in changed], f"{PERIOD} string, row_count bigint"
         )
-        report = reconcile(expected, self.counts(spec), PERIOD, at_least=spec.strategy == MERGE_PERIODS)
-        assert_reconciled(report, PERIOD, spec.name)
+
+        def check(written: DataFrame) -> None:
+            found = period_counts(written.where(F.col(PERIOD).isin(periods)))
+            report = reconcile(expected, found, PERIOD, at_least=spec.strategy == MERGE_PERIODS)
+            assert_reconciled(report, PERIOD, spec.name)
+
+        fresh = stage(rows.where(F.col(PERIOD).isin(periods)), "load")
+        try:
+            if spec.strategy == REPLACE_PERIODS:
+                replace_periods(fresh, path, periods, check)
+            elif spec.strategy == MERGE_PERIODS:
+                upsert_periods(fresh, path, spec.keys, periods, spec.name, check)
+            else:
+                raise ValueError(f"unknown strategy {spec.strategy}")
+        finally:
+            discard(fresh)
 
     def _check_columns(self, spec, rows) -> None:
         path = self.path(spec.name)

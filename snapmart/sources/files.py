@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapmart.functions.dates import is_period
 from snapmart.operators.shape import enforce_schema, pick_present
-from snapmart.sources.staging import child_names, has_data, path_exists
+from snapmart.sources.staging import beside, child_names, delete_path, has_data, path_exists, switch
 
 PERIOD = "period"
 
@@ -38,14 +39,24 @@ def scan_periods(
     periods: list[str] | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A ``period=YYYYMM`` dataset; the period list prunes folders.
+    """A ``period=YYYYMM`` dataset, of the given periods or whole.
 
     Without a schema the files' schemas are merged, so a column that only some
-    states deliver is NULL for the others.
+    states deliver is NULL for the others. Either way only the folders of the
+    periods asked for are listed and opened.
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    df = reader.parquet(root)
-    return df if periods is None else df.where(F.col(PERIOD).isin(periods))
+    merged = spark.read.option("mergeSchema", "true")
+    if periods is None:
+        return (spark.read.schema(schema) if schema else merged).parquet(root)
+    present = set(child_names(spark, root))
+    folders = [f"{root}/{PERIOD}={p}" for p in sorted(set(periods)) if f"{PERIOD}={p}" in present]
+    if folders:
+        reader = spark.read.schema(schema) if schema else merged
+        return reader.option("basePath", root).parquet(*folders)
+    if schema is None:
+        return merged.parquet(root).where(F.lit(False))
+    named = schema if PERIOD in schema.names else T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())])
+    return empty(spark, named)
 
 
 def scan_named_files(
@@ -115,26 +126,60 @@ def source_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") ->
 
 # ---- writing -------------------------------------------------------------------
 
-def write_periods(df: DataFrame, path: str, period: str = PERIOD) -> None:
+def write_periods(
+    df: DataFrame,
+    path: str,
+    period: str = PERIOD,
+    cleared: list[str] = (),
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Replace the periods present in the frame; an empty frame changes nothing.
 
+    The months are written beside the table, shown to ``check``, and then moved into
+    place (``staging.switch``): a write or check that fails leaves the table as it
+    was. Periods listed in ``cleared`` go even if the frame has no row for them.
+
     The rebalance lets adaptive execution merge small periods into few files and
     cut a large one into many tasks; a month never has to fit one task.
     """
-    (
-        df.hint("rebalance", F.col(period))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(period)
-        .parquet(path)
-    )
-
+    spark, new = df.sparkSession, beside(path)
+    try:
+        (
+            df.hint("rebalance", F.col(period))
+            .write.mode("error")
+            .option("compression", "snappy")
+            .partitionBy(period)
+            .parquet(new)
+        )
+        if check:
+            check(spark.read.schema(df.schema).parquet(new))
+        written = [n for n in child_names(spark, new) if n.startswith(f"{period}=")]
+        gone = [n for n in (f"{period}={p}" for p in cleared) if n not in written and path_exists(spark, f"{path}/{n}")]
+        switch(spark, [(f"{new}/{n}", f"{path}/{n}") for n in written] + [(None, f"{path}/{n}") for n in gone])
+    finally:
+        delete_path(spark, new)
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    schema: T.StructType | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> None:
+    """Replace a whole table, under a fixed schema when one is given.
 
-def write_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """Replace a whole table, under a fixed schema when one is given."""
+    Written beside the old one, shown to ``check``, then switched: a failure on the
+    way leaves the old table. The frame may read the table it replaces.
+    """
     shaped = df if schema is None else enforce_schema(df, schema)
-    shaped.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(path)
+    spark, new = df.sparkSession, beside(path)
+    try:
+        shaped.hint("rebalance").write.mode("error").option("compression", "snappy").parquet(new)
+        if check:
+            check(spark.read.schema(shaped.schema).parquet(new))
+        switch(spark, [(new, path)])
+    finally:
+        delete_path(spark, new)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -75,3 +75,58 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def has_data(spark: SparkSession, path: str) -> bool:
     """True when the folder holds at least one visible child."""
     return any(not n.startswith(("_", ".")) for n in child_names(spark, path))
+
+
+# ---- switching folders --------------------------------------------------------------
+
+def beside(path: str) -> str:
+    """A new hidden folder next to ``path``, on the same filesystem."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{uuid.uuid4().hex}"
+
+
+def switch(spark: SparkSession, pairs: list[tuple[str | None, str]]) -> None:
+    """Move each new folder to its live place; None removes the live one.
+
+    What was live is set aside first and removed when all are in place. A move that
+    fails puts everything back, so readers see the old folders or the new ones, each
+    whole. Between its two moves one folder is absent for a moment.
+    """
+    done: list[tuple[str | None, str, str | None]] = []
+    try:
+        for new, live in pairs:
+            old = beside(live) if path_exists(spark, live) else None
+            if old:
+                _move(spark, live, old)
+            done.append((new, live, old))
+            if new:
+                _move(spark, new, live)
+    except Exception:
+        for new, live, old in reversed(done):
+            if new and not path_exists(spark, new) and path_exists(spark, live):
+                _move(spark, live, new)
+            if old:
+                _move(spark, old, live)
+        raise
+    for _, _, old in done:
+        if old:
+            delete_path(spark, old)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _fs(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not fs.exists(to.getParent()):
+        fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the staged tables a frame reads, once its consumer has written."""
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark)).toUri().getPath()
+    for file in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).toUri().getPath()
+        if path.startswith(f"{root}/"):
+            delete_path(spark, f"{staging_root(spark)}/{path[len(root) + 1:].split('/')[0]}")

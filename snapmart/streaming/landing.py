@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from snapmart.plans.sync import fingerprint, upsert_periods
+from snapmart.plans.sync import fingerprint
 from snapmart.sources.files import PERIOD, scan_periods, write_periods
-from snapmart.sources.staging import stage
+from snapmart.sources.staging import beside, child_names, discard, has_data, stage, switch
 
 
 def file_stream(
@@ -54,27 +54,34 @@ def refresh_changed_periods(
     build: Callable[[DataFrame], DataFrame],
     checkpoint: str,
     note: Callable[[DataFrame, int], None] | None = None,
+    parts: int = 32,
 ) -> StreamingQuery:
     """Land late rows and rebuild only the months they touch.
 
-    Each micro-batch is written to its own ``batch`` folder of the landed table,
-    so a repeated batch overwrites itself instead of landing twice. The touched
-    months are then rebuilt from everything landed for them and replaced in the
-    target. ``note`` receives their fingerprints and the batch number.
+    The landed table has a folder for each month and in it one for each batch, so a
+    repeated batch overwrites itself instead of landing twice, and a batch opens the
+    months it touches only. A month of more than ``parts`` batches is merged into one.
+    The touched months are then rebuilt from everything landed for them and replaced
+    in the target. ``note`` receives their fingerprints and the batch number.
     """
     spark = stream.sparkSession
 
     def batch(rows: DataFrame, number: int) -> None:
-        path = f"{landed}/batch={number}"
-        rows.write.mode("overwrite").partitionBy(PERIOD).parquet(path)
-        arrived = spark.read.schema(rows.schema).parquet(path)
-        touched = [r[0] for r in arrived.select(PERIOD).distinct().collect()]
+        stored = T.StructType([*rows.drop("batch").schema.fields, T.StructField("batch", T.StringType())])
+        arrived = stage(rows.drop("batch").withColumn("batch", F.lit(str(number))), "arrived")
+        touched = sorted(r[0] for r in arrived.select(PERIOD).distinct().collect())
+        if touched:
+            writer = arrived.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(PERIOD, "batch").parquet(landed)
+        discard(arrived)
         if not touched:
             return
-        rebuilt = build(scan_periods(spark, landed, touched, rows.schema).drop("batch"))
+        for p in touched:
+            _merge_batches(spark, f"{landed}/{PERIOD}={p}", parts)
+        rebuilt = build(scan_periods(spark, landed, touched, stored).drop("batch"))
         write_periods(rebuilt, target)
         if note:
-            note(fingerprint(scan_periods(spark, target, touched)), number)
+            note(fingerprint(scan_periods(spark, target, touched, rebuilt.schema)), number)
 
     query = (
         stream.writeStream.foreachBatch(batch)
@@ -86,32 +93,46 @@ def refresh_changed_periods(
     return query
 
 
-def day_counts(
-    stream: DataFrame, time: str, keys: list[str], out: str, checkpoint: str, delay: str = "40 days"
-) -> StreamingQuery:
+def _merge_batches(spark: SparkSession, month: str, parts: int) -> None:
+    """Merge the older batches of a month into the newest of them; the last batch stays apart, as it may be repeated."""
+    names = [n for n in child_names(spark, month) if n.startswith("batch=")]
+    if len(names) <= parts:
+        return
+    *older, _ = sorted(names, key=lambda n: int(n.split("=")[1]))
+    new = beside(month)
+    rows = spark.read.option("mergeSchema", "true").parquet(*[f"{month}/{n}" for n in older])
+    rows.hint("rebalance").write.parquet(new)
+    switch(spark, [(new, f"{month}/{older[-1]}")] + [(None, f"{month}/{n}") for n in older[:-1]])
+
+
+def day_counts(stream: DataFrame, time: str, keys: list[str], out: str, checkpoint: str) -> StreamingQuery:
     """Counts per day and keys, kept in a table stored by month.
 
-    State holds the days the watermark still leaves open; a batch emits the counts
-    it changed and they replace their older values in the table. Rows later than
-    ``delay`` belong to ``refresh_changed_periods``, which rebuilds from the rows.
+    A row counts however late it comes: there is no watermark and no state. The
+    table holds, per day and keys, the sum of the batches before and the counts of
+    the last batch, told apart by ``batch``; a repeated batch takes the place of its
+    own counts. Only the months a batch touches are read and written. Rows without a
+    time are kept under the day NULL. Read the table with ``day_table``.
     """
-    counts = (
-        stream.withWatermark(time, delay)
-        .groupBy(F.window(time, "1 day").alias("w"), *keys)
-        .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").cast("date").alias("day"), *keys, "n")
-        .withColumn(PERIOD, F.date_format("day", "yyyyMM"))
-    )
+    spark = stream.sparkSession
 
     def publish(rows: DataFrame, number: int) -> None:
-        changed = stage(rows, "counts")
-        touched = [r[0] for r in changed.select(PERIOD).distinct().collect()]
+        day = F.to_date(time)
+        counts = rows.groupBy(day.alias("day"), *keys).agg(F.count("*").alias("n"))
+        month = F.coalesce(F.date_format("day", "yyyyMM"), F.lit("000000"))
+        counts = stage(counts.withColumns({"batch": F.lit(number).cast("long"), PERIOD: month}), "counts")
+        touched = sorted(r[0] for r in counts.select(PERIOD).distinct().collect())
         if touched:
-            upsert_periods(changed, out, ["day", *keys], touched, "day counts")
+            merged = counts
+            if has_data(spark, out):
+                before = scan_periods(spark, out, touched, counts.schema).where(F.col("batch") < number)
+                before = before.groupBy("day", *keys, PERIOD).agg(F.sum("n").alias("n"), F.max("batch").alias("batch"))
+                merged = counts.unionByName(before)
+            write_periods(merged, out)
+        discard(counts)
 
     query = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(publish)
+        stream.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -120,6 +141,11 @@ def day_counts(
     return query
 
 
+def day_table(table: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per day and keys of the table ``day_counts`` keeps."""
+    return table.groupBy("day", *keys).agg(F.sum("n").alias("n"))
+
+
 def month_counts(days: DataFrame, keys: list[str]) -> DataFrame:
     """Monthly report over the table ``day_counts`` keeps."""
     return days.groupBy(F.date_format("day", "yyyy-MM").alias("month"), *keys).agg(F.sum("n").alias("n"))

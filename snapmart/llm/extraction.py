@@ -129,9 +129,16 @@ def fit(pages: list[str], made: int = MADE, seed: int = 0) -> lstm.Labeller:
 
 
 def train(pages: DataFrame, html: str = "html", key: str = "url") -> lstm.Labeller:
-    """Fit on at most ``PAGES`` pages, the first by a hash of page and key, and on made-up ones."""
-    usable = pages.select(F.col(html).alias("html"), F.xxhash64(F.col(key), F.col(html)).alias("place")).where(F.char_length("html").between(1, LONGEST))
-    return fit([r.html for r in usable.orderBy("place").limit(PAGES).collect()])
+    """Fit on at most ``PAGES`` pages, drawn by a hash of page and key, and on made-up ones.
+
+    The hash is held against the rate that gives as many pages (and half as many
+    again), so the tasks together send no more than that to the driver.
+    """
+    place = F.xxhash64(F.col(key), F.col(html)).cast("double") / F.lit(2.0**64) + 0.5
+    usable = pages.select(F.col(html).alias("html"), place.alias("place")).where(F.char_length("html").between(1, LONGEST))
+    n = usable.count()
+    drawn = usable.where(F.col("place") < 1.5 * PAGES / max(n, 1))
+    return fit([r.html for r in drawn.orderBy("place", "html").limit(PAGES).collect()])
 
 
 def main_text(sources: list[str], model: lstm.Labeller) -> list[str]:

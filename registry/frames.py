@@ -210,15 +210,23 @@ def row_sequence(spark, d):
 
 @query("occurrence_suffix", f"""
 SELECT CASE WHEN count(*) OVER (PARTITION BY key) > 1
-  THEN key || lpad(CAST(row_number() OVER (PARTITION BY key ORDER BY {ORDERED}) AS VARCHAR), 4, '0') ELSE key END AS key, {ORDERED}
+  THEN key || '~' || lpad(CAST(row_number() OVER (PARTITION BY key ORDER BY {ORDERED}) AS VARCHAR), 4, '0') ELSE key END AS key, {ORDERED}
 FROM (SELECT *, period || '-' || l_partkey AS key FROM ({LINES}))""")
 def occurrence_suffix(spark, d):
     rows = lines(spark, d).withColumn("key", F.concat_ws("-", "period", "l_partkey")).drop("period")
     return ids.occurrence_suffix(rows, "key", LINE_ORDER)
 
 
+@query("id_uniqueness", "SELECT 'suffixed' AS id, count(*) AS row_count, 0::BIGINT AS null_keys, 0::BIGINT AS duplicate_rows FROM lineitem")
+def id_uniqueness(spark, d):
+    """Keys that repeat, and keys that look like a numbered one, come out unique."""
+    rows = lines(spark, d).withColumn("key", F.concat_ws("-", "period", "l_partkey")).drop("period")
+    unique = ids.occurrence_suffix(rows, "key", LINE_ORDER)
+    return quality.pk_report(unique, ["key"]).select(F.lit("suffixed").alias("id"), "*")
+
+
 @query("natural_or_artificial_id", f"""
-SELECT period || CASE WHEN kind IS NULL THEN seq ELSE kind || CAST(l_partkey AS VARCHAR) END AS id, count(*) AS n
+SELECT period || CASE WHEN kind IS NULL THEN '~' || seq ELSE kind || CAST(l_partkey AS VARCHAR) END AS id, count(*) AS n
 FROM (SELECT *, lpad(CAST(row_number() OVER (PARTITION BY period ORDER BY {ORDERED}) AS VARCHAR), 8, '0') AS seq,
   CASE WHEN l_quantity > 25 THEN CAST(l_suppkey AS VARCHAR) END AS kind FROM ({LINES})) GROUP BY 1""")
 def natural_or_artificial_id(spark, d):

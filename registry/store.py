@@ -18,7 +18,7 @@ from snapmart.sources.files import (
     discover_periods, read_table, scan_named_files, scan_periods, source_inventory, write_periods,
 )
 from snapmart.sources.manifest import choose_files, landing_manifest, not_landed, source_list, text_list
-from snapmart.sources.staging import new_path
+from snapmart.sources.staging import child_names, new_path, switch
 from snapmart.streaming import landing
 
 COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
@@ -51,9 +51,19 @@ def period_counts(spark, d):
     return sync.period_counts(sync.with_period(lines(spark, d), LINES))
 
 
-@query("fingerprint_by_period")
+@query("fingerprint_by_period", """
+SELECT strftime(l_shipdate, '%Y%m') AS period, count(*) AS row_count, 64::BIGINT AS hash_length, true AS same_reshuffled, count(CASE WHEN l_quantity = 50 THEN 1 END) = 0 AS same_edited
+FROM lineitem GROUP BY 1""")
 def fingerprint_by_period(spark, d):
-    return sync.fingerprint(sync.with_period(table(spark, d, "lineitem"), LINES))
+    """Per month: rows, and whether the hash survives another order and layout, and an edit."""
+    rows = sync.with_period(table(spark, d, "lineitem"), LINES)
+    edited = rows.withColumn("l_quantity", F.when(F.col("l_quantity") == 50, -1.0).otherwise(F.col("l_quantity")))
+    named = lambda df, name: sync.fingerprint(df).select("period", F.col("content_hash").alias(name))
+    joined = sync.fingerprint(rows).join(named(rows.repartition(5), "_a"), "period").join(named(edited, "_b"), "period")
+    return joined.select(
+        "period", "row_count", F.length("content_hash").cast("bigint").alias("hash_length"),
+        (F.col("content_hash") == F.col("_a")).alias("same_reshuffled"), (F.col("content_hash") == F.col("_b")).alias("same_edited"),
+    )
 
 
 @query("fingerprint_changes", """
@@ -173,6 +183,83 @@ def sync_dimension(spark, d):
     return spark.read.parquet(store.path("names"))
 
 
+@query("sync_upsert_moved", """
+SELECT o_orderkey AS id, CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 40 DAY ELSE o_orderdate END AS DATE) AS seen_on,
+  strftime(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 40 DAY ELSE o_orderdate END, '%Y%m') AS period FROM orders""")
+def sync_upsert_moved(spark, d):
+    """A third of the keys turn up under another month: one row a key remains."""
+    store, orders = fresh_store(spark), table(spark, d, "orders")
+    spec = TableSpec("moved", MERGE_PERIODS, ["id"], period_date="seen_on")
+    day = F.col("o_orderdate").cast("date")
+    old = orders.select(F.col("o_orderkey").alias("id"), day.alias("seen_on"))
+    new = orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.date_add(day, 40).alias("seen_on"))
+    store.load(spec, old, "moved.parquet", "v1")
+    store.load(spec, new, "moved.parquet", "v2")
+    return spark.read.parquet(store.path("moved"))
+
+
+@query("sync_failed_load", """
+SELECT 'names' AS table_name, count(*) AS row_count, count(CASE WHEN s_acctbal >= 0 THEN 1 END) AS renamed, 1::BIGINT AS failures, 2::BIGINT AS successes FROM supplier""")
+def sync_failed_load(spark, d):
+    """A load that fails while it writes leaves the old rows and a FAILURE; the repeated one goes through."""
+    store, supplier = fresh_store(spark), table(spark, d, "supplier")
+    spec = TableSpec("names", MERGE_TABLE, ["id"])
+    old = supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    new = supplier.where("s_acctbal >= 0").select(F.col("s_suppkey").alias("id"), F.concat("s_name", F.lit(" new")).alias("name"))
+    store.load(spec, old, "names.parquet", "v1")
+    broken = new.withColumn("name", F.when(F.col("id") > 0, F.raise_error(F.lit("broken cell"))).otherwise(F.col("name")))
+    try:
+        store.load(spec, broken, "names.parquet", "v2")
+    except Exception as e:
+        if "broken cell" not in str(e):
+            raise
+    if spark.read.parquet(store.path("names")).where("name LIKE '% new'").count():
+        raise ValueError("a failed load left rows")
+    store.load(spec, new, "names.parquet", "v2")
+    ledger = store.file_ledger().agg(
+        F.count_if(F.col("status") == sync.FAILURE).alias("failures"), F.count_if(F.col("status") == sync.SUCCESS).alias("successes")
+    ).first()
+    rows = spark.read.parquet(store.path("names"))
+    return rows.agg(F.count("*").alias("row_count"), F.count_if(F.col("name").endswith(" new")).alias("renamed")).select(
+        F.lit("names").alias("table_name"), "row_count", "renamed", F.lit(ledger.failures).cast("bigint").alias("failures"), F.lit(ledger.successes).cast("bigint").alias("successes")
+    )
+
+
+@query("sync_all", """
+WITH m AS (SELECT strftime(l_shipdate, '%Y%m') AS period, count(*) AS n FROM lineitem WHERE l_shipdate >= '1999-09-01' GROUP BY 1)
+SELECT 'lines' AS table_name, period, n AS row_count FROM m
+UNION ALL SELECT 'names', NULL, count(*) FROM supplier""")
+def sync_all(spark, d):
+    """Several tables, parents first, then retention; expired months are not loaded, and a second run changes nothing."""
+    store = fresh_store(spark)
+    names = TableSpec("names", MERGE_TABLE, ["s_suppkey"])
+    sources = lambda tag: {
+        "names": (table(spark, d, "supplier").select("s_suppkey", "s_name"), "names.parquet", tag),
+        "lines": (lines(spark, d), "lines.parquet", tag),
+    }
+    store.load_all(sources("v1"), dt.date(2000, 9, 15), 12, [names, LINES])
+    if store.load_all(sources("v2"), dt.date(2000, 9, 15), 12, [names, LINES])["lines"]:
+        raise ValueError("months were loaded again")
+    counts = sync.period_counts(spark.read.parquet(store.path("lines"))).select(F.lit("lines").alias("table_name"), "period", "row_count")
+    dims = spark.read.parquet(store.path("names")).agg(F.count("*").alias("row_count"))
+    return counts.unionByName(dims.select(F.lit("names").alias("table_name"), F.lit(None).cast("string").alias("period"), "row_count"))
+
+
+@query("file_last_success", """
+SELECT table_name, file_name, tag, row_count FROM (
+  SELECT o_orderpriority AS table_name, o_orderstatus AS file_name, CAST(o_orderkey AS VARCHAR) AS tag, o_custkey AS row_count,
+    row_number() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC) AS n
+  FROM orders WHERE o_custkey % 5 <> 0) WHERE n = 1""")
+def file_last_success(spark, d):
+    """The last successful load of each file of a table."""
+    ledger = table(spark, d, "orders").select(
+        F.col("o_orderpriority").alias("table_name"), F.col("o_orderstatus").alias("file_name"), F.col("o_orderkey").cast("string").alias("tag"),
+        F.col("o_custkey").alias("row_count"), F.when(F.col("o_custkey") % 5 == 0, sync.FAILURE).otherwise(sync.SUCCESS).alias("status"),
+        F.col("o_orderdate").alias("loaded_at"),
+    )
+    return sync.ledger_current(ledger, ["table_name", "file_name"]).select("table_name", "file_name", "tag", "row_count")
+
+
 @query("retention", f"SELECT {LIST}, strftime(l_shipdate, '%Y%m') AS period FROM lineitem WHERE l_shipdate >= '1999-09-01'")
 def retention(spark, d):
     store = fresh_store(spark)
@@ -205,13 +292,14 @@ def month_scan(spark, d):
 @query("named_file_scan", """
 SELECT event_id, user_id, value, upper(event_type) AS state, strftime(ts, '%Y%m') AS period FROM events""")
 def named_file_scan(spark, d):
-    """Files named by state and month; one state delivers an extra column less."""
-    path, events = new_path(spark, "files"), table(spark, d, "events")
-    kinds = events.select("event_type", period_key("ts").alias("p")).distinct().collect()
-    for r in kinds:
-        part = events.where((F.col("event_type") == r.event_type) & (period_key("ts") == r.p))
-        part.select("event_id", "user_id", "value").write.parquet(f"{path}/raw_ev_{r.event_type}_{r.p}.parquet")
-    rows = scan_named_files(spark, path, "raw_ev", sorted({r.p for r in kinds}))
+    """Files named by state and month, written in one job and then moved to their names."""
+    path, parts = new_path(spark, "files"), new_path(spark, "parts")
+    events = table(spark, d, "events").withColumn("period", period_key("ts"))
+    events.select("event_id", "user_id", "value", "event_type", "period").write.partitionBy("event_type", "period").parquet(parts)
+    names = lambda p: [n.split("=", 1)[1] for n in child_names(spark, p) if "=" in n]
+    found = [(t, p) for t in names(parts) for p in names(f"{parts}/event_type={t}")]
+    switch(spark, [(f"{parts}/event_type={t}/period={p}", f"{path}/raw_ev_{t}_{p}.parquet") for t, p in found])
+    rows = scan_named_files(spark, path, "raw_ev", sorted({p for _, p in found}))
     return rows.select("event_id", "user_id", "value", "state", "period")
 
 
@@ -221,9 +309,26 @@ def projected_read(spark, d):
     return read_table(spark, f"{d}/documents.parquet", ["doc_id", "lang", "not_there"])
 
 
-@query("source_inventory")
+@query("source_inventory", """
+SELECT 'orders' AS name, count(*) AS row_count, true AS sized, 1::BIGINT AS files FROM orders
+UNION ALL SELECT 'supplier', count(*), true, 1 FROM supplier
+UNION ALL SELECT 'nation', count(*), true, 1 FROM nation""")
 def inventory(spark, d):
-    return source_inventory(spark, d).select("name", "size")
+    """The files of stored tables, and the rows that each holds by its own name."""
+    path, names = new_path(spark, "inventory"), ["orders", "supplier", "nation"]
+    for n in names:
+        table(spark, d, n).coalesce(1).write.parquet(f"{path}/{n}")
+    files = source_inventory(spark, path)
+    rows = None
+    for n in names:
+        part = spark.read.parquet(f"{path}/{n}").groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name")).agg(
+            F.count("*").alias("row_count")
+        ).withColumn("stored", F.lit(n))
+        rows = part if rows is None else rows.unionByName(part)
+    joined = rows.join(files, "name")
+    return joined.groupBy(F.col("stored").alias("name")).agg(
+        F.sum("row_count").alias("row_count"), F.min(F.col("size") > 0).alias("sized"), F.count_distinct("tag").alias("files")
+    )
 
 
 # ---- landing ----------------------------------------------------------------------
@@ -316,11 +421,14 @@ def stream_refresh(spark, d):
     return spark.read.parquet(target)
 
 
-@query("stream_month_counts", "SELECT strftime(ts, '%Y-%m') AS month, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+@query("stream_month_counts", """
+SELECT strftime(ts - to_months(CAST(user_id % 12 AS INTEGER)), '%Y-%m') AS month, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_month_counts(spark, d):
-    path, events = event_files(spark, d)
+    """Events spread over a year, delivered newest month first."""
+    path, events = new_path(spark, "arrivals"), table(spark, d, "events")
+    shifted = events.withColumn("ts", F.col("ts").cast("timestamp") - F.make_ym_interval(F.lit(0), (F.col("user_id") % 12).cast("int")))
+    for back in range(12):
+        shifted.where(F.col("user_id") % 12 == back).coalesce(1).write.mode("append").parquet(path)
     out, checkpoint = new_path(spark, "counts"), new_path(spark, "checkpoint")
-    # Event times are wall-clock instants for the watermark.
-    stream = landing.file_stream(spark, path, events.schema, 2).withColumn("ts", F.col("ts").cast("timestamp"))
-    landing.day_counts(stream, "ts", ["event_type"], out, checkpoint)
+    landing.day_counts(landing.file_stream(spark, path, shifted.schema, 2), "ts", ["event_type"], out, checkpoint)
     return landing.month_counts(spark.read.parquet(out), ["event_type"])

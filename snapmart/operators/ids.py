@@ -25,9 +25,14 @@ from snapmart.operators.aggregate import latest_per_key
 from snapmart.operators.quality import require
 from snapmart.sources.staging import stage
 
-# Start year and size of the id blocks.
+# Fixed value: start year of the id blocks.
 BASE_YEAR = 2000
-BLOCK_SIZE = 10_000_000
+# Ids of a month. They are 64-bit, so a block is larger than any month; the ids of
+# existing tables may need a smaller one (``SMALL_BLOCK``, a fixed value).
+BLOCK_SIZE = 10**12
+SMALL_BLOCK = 10_000_000
+# Stands between a key and a number made up for it. A key must not contain it.
+SEPARATOR = "~"
 
 _PARTITION_SHIFT = 33  # monotonically_increasing_id: partition number, then row
 _LOCAL = ["_pos", "_pid"]
@@ -148,28 +153,34 @@ def row_sequence(df: DataFrame, period: str, order_by: list[str], name: str, wid
     return numbered.select(*df.columns, zero_fill(F.col("_n").cast("string"), width).alias(name))
 
 
-def occurrence_text(key: Column, number: Column, total: Column, width: int = 4) -> Column:
-    """The key, followed by its occurrence number only when it repeats."""
-    return F.when(total > 1, F.concat(key, zero_fill(number.cast("string"), width))).otherwise(key)
+def occurrence_text(key: Column, number: Column, total: Column, width: int = 4, separator: str = SEPARATOR) -> Column:
+    """The key, followed by its occurrence number only when it repeats.
+
+    The separator keeps a numbered key apart from a longer key that ends in digits;
+    the job fails on a key that contains it. An empty separator leaves that to the
+    caller.
+    """
+    plain = require(key, ~F.contains(key, F.lit(separator)), f"key contains {separator}") if separator else key
+    return F.when(total > 1, F.concat(plain, F.lit(separator), zero_fill(number.cast("string"), width))).otherwise(plain)
 
 
-def occurrence_suffix(df: DataFrame, key: str, order_by: list[str], width: int = 4) -> DataFrame:
+def occurrence_suffix(df: DataFrame, key: str, order_by: list[str], width: int = 4, separator: str = SEPARATOR) -> DataFrame:
     """Make a key unique by numbering its repetitions."""
     numbered = add_occurrence(stage_in_order(df, [key, *order_by]), [key], "_n", "_total")
-    unique = occurrence_text(F.col(key), F.col("_n"), F.col("_total"), width)
+    unique = occurrence_text(F.col(key), F.col("_n"), F.col("_total"), width, separator)
     return drop_place(numbered.withColumn(key, unique)).select(*df.columns)
 
 
 def natural_or_artificial(
-    prefix: list[Column], parts: list[Column], sequence: Column
+    prefix: list[Column], parts: list[Column], sequence: Column, separator: str = SEPARATOR
 ) -> Column:
-    """Prefix and natural parts when all parts are present, else prefix and the
-    sequence."""
+    """Prefix and natural parts when all parts are present, else prefix, separator
+    and the sequence, which no natural parts can equal."""
     texts = [normalise_code(p) for p in parts]
     present = reduce(
         lambda a, b: a & b, [F.coalesce(t, F.lit("")) != F.lit("") for t in texts]
     )
-    return F.when(present, F.concat(*prefix, *texts)).otherwise(F.concat(*prefix, sequence))
+    return F.when(present, F.concat(*prefix, *texts)).otherwise(F.concat(*prefix, F.lit(separator), sequence))
 
 
 def keep_first(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:

@@ -100,8 +100,10 @@ def from_prefix(
     df: DataFrame, code: str, prefixes: DataFrame, values: dict[str, str], length: int = 2
 ) -> DataFrame:
     """Add columns looked up by the first characters of a code; ``values`` gives
-    each wanted column of ``prefixes`` (code, ...) and its default."""
+    each wanted column of ``prefixes`` (code, ...) and its default. Of a prefix
+    listed more than once, the first row in the order of its values counts."""
     names = list(values)
+    prefixes = latest_per_key(prefixes, ["code"], [F.col(n).asc_nulls_last() for n in names])
     wide = prefixes.select(F.col("code").alias("_prefix"), *[F.col(n).alias(f"_{n}") for n in names])
     joined = df.join(wide, F.substring(F.col(code), 1, length) == F.col("_prefix"), "left")
     return joined.withColumns(

@@ -186,17 +186,14 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def verify_output(
-    spark: SparkSession, path: str, expected_rows: int, schema: T.StructType
-) -> None:
+def verify_rows(written: DataFrame, expected_rows: int, schema: T.StructType, name: str) -> None:
     """Written rows and column order must match the contract."""
-    written = spark.read.parquet(path)
     names = [c for c in written.columns if c in schema.names or c != PERIOD]
     if names != schema.names:
-        raise ValueError(f"{path}: columns {names}, expected {schema.names}")
+        raise ValueError(f"{name}: columns {names}, expected {schema.names}")
     rows = written.count()
     if rows != expected_rows:
-        raise ValueError(f"{path}: {rows} rows written, expected {expected_rows}")
+        raise ValueError(f"{name}: {rows} rows written, expected {expected_rows}")
 
 
 def _valid_period(p: str) -> bool:

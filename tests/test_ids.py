@@ -47,8 +47,9 @@ def test_block_ids_equal_plain_window(spark, rows):
 
 def test_block_start_vector(spark):
     df = spark.createDataFrame([("202508",)], "period string")
-    assert df.select(ids.block_start(F.col("period"))).first()[0] == 3_080_000_000
-    assert ids.block_ids(df, "period", [], "id").first().id == 3_080_000_001
+    assert df.select(ids.block_start(F.col("period"), block=ids.SMALL_BLOCK)).first()[0] == 3_080_000_000
+    assert ids.block_ids(df, "period", [], "id", block=ids.SMALL_BLOCK).first().id == 3_080_000_001
+    assert ids.block_ids(df, "period", [], "id").first().id == 308 * 10**12 + 1
 
 
 def test_block_overflow_fails(rows):
@@ -91,7 +92,12 @@ def test_all_equal_rows_can_be_split(spark):
 def test_occurrence_suffix_vector(spark):
     df = spark.createDataFrame([("a", 2), ("b", 1), ("a", 1)], "key string, v int")
     got = ids.occurrence_suffix(df, "key", ["v"])
-    assert everything(got) == [("a0001", 1), ("a0002", 2), ("b", 1)]
+    assert everything(got) == [("a~0001", 1), ("a~0002", 2), ("b", 1)]
+    # A key that ends like a numbered one stays apart; one with the separator is refused.
+    odd = spark.createDataFrame([("P-1", 1), ("P-1", 2), ("P-10001", 3), ("P-10002", 4)], "key string, v int")
+    assert ids.occurrence_suffix(odd, "key", ["v"]).select("key").distinct().count() == 4
+    with pytest.raises(Exception, match="key contains"):
+        ids.occurrence_suffix(odd.withColumn("key", F.concat("key", F.lit("~1"))), "key", ["v"]).collect()
 
 
 def test_row_sequence(spark):
@@ -105,7 +111,7 @@ def test_natural_or_artificial(spark):
         [("7", "80"), (None, "80"), ("", "80")], "kind string, code string"
     )
     c = ids.natural_or_artificial([F.lit("P")], [F.col("kind"), F.col("code")], F.lit("00000001"))
-    assert [r[0] for r in df.select(c).collect()] == ["P780", "P00000001", "P00000001"]
+    assert [r[0] for r in df.select(c).collect()] == ["P780", "P~00000001", "P~00000001"]
 
 
 def test_keep_first_and_flags(spark):

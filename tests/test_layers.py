@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from snapmart.operators.ids import SMALL_BLOCK
 from snapmart.operators.lookup import lookup_from
 from snapmart.plans import gold, pipeline, silver
 from snapmart.plans.schemas import schema
@@ -29,7 +30,7 @@ def test_staff_rules(spark):
         {"COMPETEN": "202502", "CBO": "225125", "CNES": "1", "period": "202501"},  # other month
     )
     lookups = silver.Lookups(yes_no=lookup_from(spark, {"01": "Sim"}), occupation=lookup_from(spark, {"225125": "Médico"}))
-    got = gold.staff(silver.staff(rows, lookups)).orderBy("staff_id").collect()
+    got = gold.staff(silver.staff(rows, lookups, block=SMALL_BLOCK)).orderBy("staff_id").collect()
     assert [r.staff_id for r in got] == [3_010_000_001, 3_010_000_002]
     assert [(r.person_id, r.occupation, r.public_link, r.hours, r.unit_version) for r in got] == [
         ("000000000000007", "225125 - Médico", "Sim", 8.0, "2025010000001"),
@@ -46,7 +47,7 @@ def test_equipment_ids(spark):
     )
     lookups = silver.Lookups(equipment_kind=lookup_from(spark, {"7": "Odontologia"}), equipment_code=lookup_from(spark, {("7", "01"): "Cadeira"}))
     got = gold.equipment(silver.equipment(rows, lookups)).collect()
-    assert sorted(r.equipment_id for r in got) == ["202501000000100000004", "202501000000107010001", "202501000000107010002", "20250100000010702"]
+    assert sorted(r.equipment_id for r in got) == ["20250100000010701~0001", "20250100000010701~0002", "20250100000010702", "2025010000001~00000004"]
     assert {(r.equipment_kind, r.equipment_code) for r in got} == {("07- Odontologia", "01 - Cadeira"), ("07- Odontologia", "02"), (None, "02")}
 
 
@@ -86,7 +87,70 @@ def test_failures_are_isolated():
     steps = {"a": lambda: done.append("a"), "b": lambda: 1 / 0, "c": lambda: done.append("c")}
     with pytest.raises(pipeline.LayerError, match="b: division"):
         pipeline.run_isolated(steps)
-    assert done == ["a", "c"]
+    assert sorted(done) == ["a", "c"]
+
+
+def test_steps_wait_for_their_parents():
+    done = []
+    steps = {"late": lambda: done.append("late"), "lost": lambda: done.append("lost"), "a": lambda: done.append("a"), "b": lambda: 1 / 0}
+    with pytest.raises(pipeline.LayerError, match="lost: not run: b failed"):
+        pipeline.run_isolated(steps, {"late": ["a"], "lost": ["a", "b"]})
+    assert done == ["a", "late"]
+
+
+def test_dimensions_stay_when_a_source_fails(spark, tmp_path):
+    line = {"CNES": "1", "COMPETEN": "202501", "period": "202501", "CODUFMUN": "110001"}
+    made = {
+        "units": {**line, "ALVARA": "9", "DT_EXPED": "20240101"}, "beds": {**line, "CODLEITO": "2"}, "equipment": {**line, "TIPEQUIP": "7", "CODEQUIP": "1"},
+        "staff": {**line, "CBO": "225125"}, "admissions": {**line, "N_AIH": "1", "ANO_CMPT": "2025", "MES_CMPT": "01", "MUNIC_MOV": "110001"},
+    }
+    for source, row in made.items():
+        raw(spark, source, row).write.partitionBy("period").parquet(str(tmp_path / "raw" / silver.SOURCE_FILES[source][1]))
+    prefixes = spark.createDataFrame([("11", "RO", "Norte"), ("11", "RO", "Norte")], "code string, state string, region string")
+    build = lambda **more: pipeline.build_silver(spark, str(tmp_path / "raw"), str(tmp_path / "silver"), silver.Lookups(), lookup_from(spark, {"110001": "Alta"}), prefixes, **more)
+    build()
+    assert spark.read.parquet(str(tmp_path / "silver/places")).count() == 1
+    (tmp_path / "raw/raw_cnes_lt/period=202502").mkdir()
+    (tmp_path / "raw/raw_cnes_lt/period=202502/part-0.parquet").write_text("junk")
+    build(periods=["202501"])  # the broken month is not opened
+    with pytest.raises(pipeline.LayerError, match="(?s)beds: .*places: not run: beds failed") as e:
+        build(periods=["202501", "202502"])
+    assert {"beds", "dates", "places", "quality"} == set(e.value.errors)
+    assert spark.read.parquet(str(tmp_path / "silver/places")).count() == 1
+    build(periods=["202501"], dates=(dt.date(1910, 1, 1), dt.date(2024, 12, 31)))
+    report = {(r.source, r.check, r.column): r.row_count for r in spark.read.parquet(str(tmp_path / "silver/quality")).collect()}
+    assert report["beds", "implausible date", "period_date"] == 1
+
+
+def test_flat_files_beside_folders_are_read(spark, tmp_path):
+    root = str(tmp_path)
+    bed = lambda m: raw(spark, "beds", {"CNES": "1", "COMPETEN": m, "period": m})
+    bed("202501").write.partitionBy("period").parquet(f"{root}/raw_cnes_lt")
+    bed("202502").drop("period").write.parquet(f"{root}/raw_cnes_lt_ro_202502.parquet")
+    assert sorted(r.period for r in pipeline.read_raw(spark, root, "beds").collect()) == ["202501", "202502"]
+    bed("202501").drop("period").write.parquet(f"{root}/raw_cnes_lt_ro_202501.parquet")
+    with pytest.raises(ValueError, match="202501 comes as a folder and as a file"):
+        pipeline.read_raw(spark, root, "beds")
+
+
+def test_repeated_lookup_keys_do_not_multiply(spark):
+    rows = raw(spark, "beds", {"COMPETEN": "202501", "CNES": "1", "CODLEITO": "2", "period": "202501"})
+    twice = spark.createDataFrame([("02", "b"), ("02", "a")], "code string, text string")
+    assert [r.bed_kind for r in silver.beds(rows, silver.Lookups(bed_kind=twice)).collect()] == ["02 - a"]
+
+
+def test_landing_run(spark, tmp_path):
+    delivered, root = tmp_path / "delivered", str(tmp_path / "root")
+    bed = raw(spark, "beds", {"CNES": "1", "COMPETEN": "202508", "period": "202508"}).drop("period")
+    for name in ("LTRO_202508.parquet", "LTROb_202508.parquet", "LTSP_202507.parquet", "LTRO_202401.parquet"):
+        bed.write.parquet(str(delivered / name))
+    (delivered / "LTAC_202508.parquet").mkdir()
+    (delivered / "LTAC_202508.parquet/part-0.parquet").write_text("junk")
+    with pytest.raises(pipeline.LayerError, match="LT AC"):
+        pipeline.land_delivered(spark, str(delivered), root, dt.date(2025, 9, 15), 2, ["AC", "RO", "SP"])
+    landed = pipeline.read_raw(spark, root, "beds")
+    assert sorted((r.period, r.state) for r in landed.collect()) == [("202507", "SP"), ("202508", "RO")]
+    assert pipeline.land_delivered(spark, str(delivered), root, dt.date(2025, 9, 15), 2, ["RO", "SP"]) == []
 
 
 def test_landing_list(spark):
@@ -133,3 +197,30 @@ def test_late_file_refreshes_its_month(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(out).select("period", "kind", "n").collect()) == [("202501", "a", 2), ("202502", "a", 1)]
     months = landing.month_counts(spark.read.parquet(days), ["kind"])
     assert sorted(tuple(r) for r in months.collect()) == [("2025-01", "a", 2), ("2025-02", "a", 1)]
+
+
+def test_backfill_loses_no_row(spark, tmp_path):
+    """Twelve months, newest first, one file a batch; then the last batch once more."""
+    src, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for m in range(12, 0, -1):
+        arrivals(spark, src, *[(dt.datetime(2025, m, 1 + d), "a") for d in range(10)], (None, "a"))
+    schema_ = spark.read.parquet(src).schema
+    landing.day_counts(landing.file_stream(spark, src, schema_, 1), "ts", ["kind"], out, check)
+    days = landing.day_table(spark.read.parquet(out), ["kind"])
+    assert days.where("day is not null").agg(F.sum("n"), F.count("*")).first() == (120, 120)
+    assert days.where("day is null").first().n == 12
+    (tmp_path / "check/commits/.11.crc").unlink()
+    (tmp_path / "check/commits/11").unlink()  # as if the driver died before it noted the last batch
+    landing.day_counts(landing.file_stream(spark, src, schema_, 1), "ts", ["kind"], out, check)
+    assert landing.day_table(spark.read.parquet(out), ["kind"]).agg(F.sum("n")).first()[0] == 132
+
+
+def test_batches_of_a_month_are_merged(spark, tmp_path):
+    src, landed, out, check = (str(tmp_path / n) for n in ("in", "landed", "out", "check"))
+    for d in range(1, 7):
+        arrivals(spark, src, (dt.datetime(2025, 1, d), "a"))
+    schema_ = spark.read.parquet(src).schema
+    stream = landing.file_stream(spark, src, schema_, 1).withColumn("period", F.date_format("ts", "yyyyMM"))
+    landing.refresh_changed_periods(stream, landed, out, lambda r: r.groupBy("period").agg(F.count("*").alias("n")), check, parts=3)
+    assert spark.read.parquet(out).first().n == 6
+    assert len(list((tmp_path / "landed/period=202501").glob("batch=*"))) <= 3

@@ -134,3 +134,96 @@ def test_ledger_current(spark):
     rows = [("1", "t", "p", "h1", 1, "g", "SUCCESS", 1), ("2", "t", "p", "h2", 1, "g", "SUCCESS", 1), ("3", "t", "p", "h3", 1, "g", "FAILURE", 9)]
     df = spark.createDataFrame(rows, "load_id string, table_name string, period string, content_hash string, row_count int, tag string, status string, loaded_at int")
     assert [r.content_hash for r in sync.ledger_current(df).collect()] == ["h2"]
+
+
+def test_failed_write_leaves_the_old_rows(spark, store):
+    dim = lambda *r: spark.createDataFrame(list(r), "id int, v string")
+    store.load(DIM, dim(*((i, "old") for i in range(100))), "d", "v1")
+    bad = dim((1, "new")).withColumn("v", F.when(F.col("id") == 1, F.raise_error(F.lit("no"))).otherwise(F.col("v")))
+    for write in (lambda: store.load(DIM, bad, "d", "v2"), lambda: sync.upsert_table(bad, store.path("dim"), ["id"])):
+        with pytest.raises(Exception, match="no"):
+            write()
+        assert content(store, "dim") == [(i, "old") for i in range(100)]
+    assert [r.status for r in store.file_ledger().orderBy("loaded_at").collect()] == ["SUCCESS", "FAILURE"]
+    store.load(DIM, dim((1, "new")), "d", "v2")
+    assert content(store, "dim")[1] == (1, "new") and len(content(store, "dim")) == 100
+
+
+def test_months_move_together_or_not_at_all(spark, store, monkeypatch):
+    store.load(FACT, days(spark, ("2025-01-05", 1), ("2025-02-05", 2)), "f", "v1")
+    from snapmart.sources import staging
+
+    real, calls = staging._move, []
+
+    def failing(sp, source, target):
+        calls.append(target)
+        if len(calls) == 4:
+            raise OSError("disk")
+        real(sp, source, target)
+
+    monkeypatch.setattr(staging, "_move", failing)
+    with pytest.raises(OSError):
+        store.load(FACT, days(spark, ("2025-01-05", 8), ("2025-02-05", 9)), "f", "v2")
+    monkeypatch.undo()
+    assert [r[1] for r in content(store, "fact")] == [1, 2]
+    assert sorted(p.name for p in (__import__("pathlib").Path(store.root)).iterdir() if p.name.startswith("_fact")) == []
+
+
+def test_counts_are_checked_before_the_switch(spark, store):
+    store.load(FACT, days(spark, ("2025-01-05", 1)), "f", "v1")
+
+    def refuse(written):
+        raise ValueError(f"saw {written.count()}")
+
+    with pytest.raises(ValueError, match="saw 2"):
+        sync.replace_periods(sync.with_period(days(spark, ("2025-01-05", 8), ("2025-01-06", 9)), FACT), store.path("fact"), ["202501"], refuse)
+    assert [r[1] for r in content(store, "fact")] == [1]
+
+
+def test_moved_key_is_kept_once(spark, store):
+    spec = TableSpec("moved", MERGE_PERIODS, ["id"], period_date="day")
+    rows = lambda *r: spark.createDataFrame([(i, dt.date.fromisoformat(d)) for i, d in r], "id int, day date")
+    store.load(spec, rows((1, "2025-01-05"), (2, "2025-01-06"), (3, "2025-03-01")), "m", "v1")
+    assert store.load(spec, rows((1, "2025-02-05"), (3, "2025-02-06")), "m", "v2") == [("202502", "new")]
+    assert [r[:2] for r in content(store, "moved")] == [(1, dt.date(2025, 2, 5)), (2, dt.date(2025, 1, 6)), (3, dt.date(2025, 2, 6))]
+    assert not (__import__("pathlib").Path(store.path("moved")) / "period=202503").exists()
+
+
+def test_months_are_checked(spark, store):
+    for wrong in ("202399", "202502"):
+        with pytest.raises(ValueError, match="without a valid period, or of another month"):
+            store.load(FACT, days(spark, ("2025-01-05", 1)).withColumn("period", F.lit(wrong)), "f", "v1")
+
+
+def test_expired_months_are_not_loaded_again(spark, store):
+    rows = days(spark, ("2024-08-31", 1), ("2024-09-01", 2))
+    load = lambda tag: store.load_all({"fact": (rows, "f", tag)}, dt.date(2025, 9, 15), 12, [FACT])["fact"]
+    assert load("v1") == [("202409", "new")] and load("v2") == []
+    assert [r[1] for r in content(store, "fact")] == [2]
+
+
+def test_upserted_month_settles(spark, store):
+    unit = lambda *r: spark.createDataFrame(list(r), "key string, v int")
+    store.load(UNITS, unit(("2025010000001", 1), ("2025010000002", 1)), "u", "v1")
+    store.load(UNITS, unit(("2025010000001", 5)), "u", "v2")
+    assert store.load(UNITS, unit(("2025010000001", 5)), "u", "v3") == []
+
+
+def test_only_the_months_asked_for_are_opened(spark, store, tmp_path):
+    from snapmart.sources.files import scan_periods, write_periods
+
+    path = str(tmp_path / "t")
+    write_periods(sync.with_period(days(spark, ("2025-01-05", 1)), FACT), path)
+    (tmp_path / "t/period=202502").mkdir()
+    (tmp_path / "t/period=202502/part-0.parquet").write_text("junk")
+    assert scan_periods(spark, path, ["202501"]).first().v == 1
+    assert scan_periods(spark, path, ["202501"], days(spark, ("2025-01-05", 1)).schema).first().v == 1
+
+
+def test_staged_tables_are_removed(spark, store):
+    from snapmart.sources import staging
+
+    before = set(staging.child_names(spark, staging.staging_root(spark)))
+    store.load(FACT, days(spark, ("2025-01-05", 1)), "f", "v1")
+    store.load(DIM, spark.createDataFrame([(1, "a")], "id int, v string"), "d", "v1")
+    assert set(staging.child_names(spark, staging.staging_root(spark))) == before

@@ -53,6 +53,24 @@ def flow_by_month_region(spark, d):
     return q.admissions_by_month(star(spark, d, "admissions", "places", lean=("orders", "supplier")), START, END, ASIA)
 
 
+ONE_UNIT = Scope(unit="0000003")
+OF_UNIT = "unit_version IN (SELECT unit_version FROM units WHERE unit_id = '0000003')"
+
+
+@query("flow_by_month_unit", with_ctes([ADMISSIONS, UNITS], f"""
+SELECT strftime(entry_date, '%Y-%m') AS month, count(*) AS admissions
+FROM admissions WHERE {DAYS} AND {OF_UNIT} GROUP BY 1"""))
+def flow_by_month_unit(spark, d):
+    return q.admissions_by_month(star(spark, d, "admissions", "units"), START, END, ONE_UNIT)
+
+
+@query("top_reasons_unit", with_ctes([ADMISSIONS, UNITS], f"""
+SELECT diagnosis, count(*) AS admissions FROM admissions WHERE {DAYS} AND diagnosis IS NOT NULL AND {OF_UNIT}
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""))
+def top_reasons_unit(spark, d):
+    return q.top_diagnoses(star(spark, d, "admissions", "units"), START, END, ONE_UNIT)
+
+
 OVERVIEW = """
 SELECT (SELECT count(*) FROM a) AS admissions,
   (SELECT {mean} FROM a) AS mean_stay,

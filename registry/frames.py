@@ -334,7 +334,7 @@ WITH d AS (SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem UNION SELECT CA
 SELECT date, strftime(date, '%m') AS month, strftime(date, '%Y') AS year, CAST(dayofyear(date) AS VARCHAR) AS day_of_year,
   CAST(day(date) AS VARCHAR) AS day_of_month, CAST((day(date) - 1) // 7 + 1 AS VARCHAR) AS week_of_month,
   CAST(weekofyear(date) AS VARCHAR) AS week_of_year,
-  ({dates.WEEKDAY_NAMES!r})[isodow(date)] AS weekday_name, ({dates.MONTH_NAMES!r})[month(date)] AS month_name,
+  (['Segunda-feira', 'Terça-feira', 'Quarta-feira', 'Quinta-feira', 'Sexta-feira', 'Sábado', 'Domingo'])[isodow(date)] AS weekday_name, (['Janeiro', 'Fevereiro', 'Março', 'Abril', 'Maio', 'Junho', 'Julho', 'Agosto', 'Setembro', 'Outubro', 'Novembro', 'Dezembro'])[month(date)] AS month_name,
   CAST((month(date) - 1) // 2 + 1 AS VARCHAR) AS two_month, CAST(quarter(date) AS VARCHAR) AS quarter,
   CAST((month(date) - 1) // 6 + 1 AS VARCHAR) AS half_year
 FROM d WHERE date BETWEEN DATE '1910-01-01' AND DATE '2028-12-31'""")

@@ -65,8 +65,8 @@ def catalog_code(spark, d):
     )
 
 
-@query("header_slug", f"""
-SELECT conv_id, turn, trim(regexp_replace(translate(lower(trim(text)), '{codes.ACCENTED}', '{codes.PLAIN}'), '[^a-z0-9]+', '_', 'g'), '_') AS slug
+@query("header_slug", """
+SELECT conv_id, turn, trim(regexp_replace(lower(regexp_replace(strip_accents(trim(text)), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '_', 'g'), '_') AS slug
 FROM conversations""")
 def header_slug(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", codes.slug("text").alias("slug"))
@@ -174,7 +174,7 @@ def day_parse(spark, d):
 SELECT o_orderkey, strftime(d, '%m') AS month, strftime(d, '%Y') AS year,
   CAST(dayofyear(d) AS VARCHAR) AS day_of_year, CAST(day(d) AS VARCHAR) AS day_of_month,
   CAST((day(d) - 1) // 7 + 1 AS VARCHAR) AS week_of_month, CAST(weekofyear(d) AS VARCHAR) AS week_of_year,
-  ({dates.WEEKDAY_NAMES!r})[isodow(d)] AS weekday_name, ({dates.MONTH_NAMES!r})[month(d)] AS month_name,
+  (['Segunda-feira', 'Terça-feira', 'Quarta-feira', 'Quinta-feira', 'Sexta-feira', 'Sábado', 'Domingo'])[isodow(d)] AS weekday_name, (['Janeiro', 'Fevereiro', 'Março', 'Abril', 'Maio', 'Junho', 'Julho', 'Agosto', 'Setembro', 'Outubro', 'Novembro', 'Dezembro'])[month(d)] AS month_name,
   CAST((month(d) - 1) // 2 + 1 AS VARCHAR) AS two_month, CAST(quarter(d) AS VARCHAR) AS quarter,
   CAST((month(d) - 1) // 6 + 1 AS VARCHAR) AS half_year
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""")

@@ -12,9 +12,23 @@ MISSING_TEXTS = ["nan", "none", "<na>", "null"]
 PLACEHOLDERS = ["", "None", "nan", "NaN", "0", "00", "NoneType", "<NA>"]
 # Spellings of "yes" in flag columns.
 YES_TEXTS = ["S", "SIM", "1", "Y", "YES", "TRUE"]
-# Accented letters and their plain forms.
-ACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçñ"
-PLAIN = "aaaaaeeeeiiiiooooouuuucn"
+
+
+def _plain_forms() -> tuple[str, str, dict[str, str]]:
+    """Characters with an ASCII compatibility decomposition: those of one letter as
+    two strings for ``translate``, and the few longer ones of the Latin blocks."""
+    one, plain, longer = [], [], {}
+    for code in (*range(0xA0, 0x2200), *range(0xFB00, 0xFB07), *range(0xFF00, 0xFF60)):
+        form = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+        if len(form) == 1:
+            one.append(chr(code))
+            plain.append(form)
+        elif form and (code < 0x250 or code >= 0xFB00):
+            longer[chr(code)] = form
+    return "".join(one), "".join(plain), longer
+
+
+ACCENTED, PLAIN, LONGER = _plain_forms()
 
 
 def as_col(c: Column | str) -> Column:
@@ -113,9 +127,19 @@ def replace_sentinel(
     )
 
 
+def unaccented(c: Column | str) -> Column:
+    """The text in ASCII: letters without their accents, what has no plain form left out."""
+    text = as_col(c)
+    plain = F.translate(text, ACCENTED, PLAIN)
+    for letter, form in LONGER.items():
+        plain = F.replace(plain, F.lit(letter), F.lit(form))
+    plain = F.regexp_replace(plain, r"[^\x00-\x7F]", "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
+
+
 def slug(c: Column | str) -> Column:
-    """Column form of :func:`header_slug` for the accented letters listed above."""
-    plain = F.translate(F.lower(clean_text(c)), ACCENTED, PLAIN)
+    """Column form of :func:`header_slug`."""
+    plain = F.lower(unaccented(clean_text(c)))
     return F.btrim(F.regexp_replace(plain, r"[^a-z0-9]+", "_"), F.lit("_"))
 
 

@@ -20,8 +20,15 @@ def rounded(c: Column, digits: int = 2) -> Column:
     return F.round(c.cast("decimal(28,8)"), digits).cast("double")
 
 
+def exact(c: Column | str) -> Column:
+    """The number as a decimal, whose sums do not depend on the order of the rows."""
+    return as_col(c).cast("decimal(28,8)")
+
+
 def mean(c: Column | str, digits: int = 2) -> Column:
-    return rounded(F.avg(as_col(c)), digits)
+    """Rounded mean over an exact sum, so a value on a rounding edge stays on its side."""
+    value = as_col(c)
+    return rounded(F.sum(exact(value)).cast("double") / F.nullif(F.count(value), F.lit(0)), digits)
 
 
 def total(c: Column | str) -> Column:
@@ -101,6 +108,7 @@ def top_n_others(
     n: int = 10,
     others: str = "Outros",
     missing: str = "Não informado",
+    scale: int = 6,
 ) -> DataFrame:
     """Per group, the ``n`` largest labels and one row for the rest when its sum
     is above 0. ``df`` holds one row per (group, label).
@@ -108,12 +116,14 @@ def top_n_others(
     Group totals come out of the same pass as the rows and are sorted ahead of
     them; the cut to ``n + 1`` rows per group then happens inside each task, and
     the rest is the total less the head. No group is sorted or gathered whole.
+    Values are added exactly, to ``scale`` decimals; smaller parts of them are
+    rounded away.
     """
-    amount = F.coalesce(F.col(value), F.lit(0)).cast("decimal(28,6)")
+    amount = F.coalesce(F.col(value), F.lit(0)).cast(f"decimal(28,{scale})")
     rows = df.select(*group, F.col(label).alias("_label"), amount.alias("_amount"))
     every = [F.col(g) for g in group]
     sums = rows.groupingSets([[*every, F.col("_label")], every], *every, F.col("_label")).agg(
-        F.grouping("_label").alias("_total"), F.sum("_amount").cast("decimal(28,6)").alias("_amount")
+        F.grouping("_label").alias("_total"), F.sum("_amount").cast(f"decimal(28,{scale})").alias("_amount")
     )
     order = [F.col("_total").desc(), F.col("_amount").desc(), F.col("_label").asc_nulls_last()]
     head = top_k_per_group(sums, group, order, n + 1)
@@ -214,26 +224,22 @@ def detail_and_total_distinct(
     )
 
 
-def distinct_values(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
-    """Distinct non-null values of several columns as (keys, column, value), one scan.
+def distinct_values(df: DataFrame, columns: list[str], keys: list[str] = (), wide: list[str] = ()) -> DataFrame:
+    """Distinct non-null values of several columns as (keys, column, value).
 
-    Listing values instead of combinations keeps the result additive: a key has
-    as many rows as its columns have values, not as many as their product.
+    Rows are first reduced to the combinations of the columns inside each task, and
+    only those are listed value by value. A column with many values (``wide``) is
+    reduced on its own, in a scan of that column, as it would multiply the combinations.
     """
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                for c in columns
-            ]
-        )
-    )
-    return (
-        df.select(*keys, pairs.alias("p"))
-        .select(*keys, "p.column", "p.value")
-        .where(F.col("value").isNotNull())
-        .distinct()
-    )
+    narrow = [c for c in columns if c not in wide]
+
+    def listed(names: list[str]) -> DataFrame:
+        values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in names]
+        combinations = df.select(*keys, *names).distinct()
+        return combinations.select(*keys, F.inline(F.array(*values))).where(F.col("value").isNotNull())
+
+    parts = [listed(names) for names in ([narrow] if narrow else []) + [[c] for c in wide]]
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def _ascending(keys: list[str]) -> list[Column]:

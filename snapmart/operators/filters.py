@@ -99,13 +99,9 @@ def keep_places(
 def _versions(units: DataFrame, scope: Scope, fact_key: str) -> DataFrame:
     """(fact_key, unit_id) of the facility versions in scope.
 
-    One facility has one version per month, so a chosen facility is a handful of
-    rows and safe to broadcast; the whole table is left to Spark's size check.
+    Whether they are broadcast is left to Spark's size check.
     """
-    rows = where_all(units, scope.unit_predicates()).select(
-        F.col("unit_version").alias(fact_key), "unit_id"
-    )
-    return F.broadcast(rows) if scope.unit else rows
+    return where_all(units, scope.unit_predicates()).select(F.col("unit_version").alias(fact_key), "unit_id")
 
 
 def keep_units(fact: DataFrame, units: DataFrame, fact_key: str, scope: Scope) -> DataFrame:

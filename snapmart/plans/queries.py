@@ -22,6 +22,7 @@ from snapmart.functions.dates import (
     check_month_range, day_range, month_label, month_of, parse_month, stay_days,
 )
 from snapmart.operators.aggregate import (
+    exact,
     AGE_BANDS, banded, detail_and_total_distinct, distinct_count, distinct_if, distinct_values,
     distributions, latest_per_key, mean, rounded, side_by_side, top_k, top_n_others, total,
     two_level,
@@ -132,8 +133,9 @@ def licence_coverage(star: Star, first: str, last: str, scope: Scope = EVERYWHER
     rows = keep_places(
         snapshots(star.units, start, end), star.places, "place_id", scope, always=True
     ).select("unit_version", "unit_id")
+    # A licence row names a version of its own month: the other months cannot match.
     licensed = (
-        star.licences.where(F.col("licence").isNotNull())
+        versions_in(star.licences, start, end).where(F.col("licence").isNotNull())
         .select("unit_version", F.lit(1).alias("_licensed"))
         .distinct()
     )
@@ -192,11 +194,11 @@ def top_units_by_icu_days(
     """Facilities with the longest mean ICU stay."""
     rows = star.admissions.where(day_range("entry_date", start, end) & F.col("icu_days").isNotNull())
     per_version = rows.groupBy("care_place", "unit_version").agg(
-        F.sum("icu_days").alias("_days"), F.count("*").alias("_n")
+        F.sum(exact("icu_days")).alias("_days"), F.count("*").alias("_n")
     )
     placed = keep_places(per_version, star.places, "care_place", scope, always=True)
     per_unit = with_unit_id(placed, star.units, "unit_version").groupBy("unit_id").agg(
-        rounded(F.sum("_days") / F.sum("_n")).alias("mean_icu_days"),
+        rounded(F.sum("_days").cast("double") / F.sum("_n")).alias("mean_icu_days"),
         F.sum("_n").alias("admissions"),
     )
     return top_k(per_unit, "mean_icu_days", ["unit_id"], k)
@@ -446,7 +448,7 @@ def filter_values(star: Star, start: dt.date, end: dt.date, scope: Scope = EVERY
         star.admissions.where(day_range("entry_date", start, end)), star.units, "unit_version", scope
     )
     # The joins see the distinct values of each facility version, not admissions.
-    values = distinct_values(rows, columns, ["care_place", "unit_version"])
+    values = distinct_values(rows, columns, ["care_place", "unit_version"], wide=["ethnicity"])
     placed = keep_places(values, star.places, "care_place", scope, always=True)
     kept = placed.join(star.units.select("unit_version"), "unit_version", "left_semi")
     return kept.select("column", "value").distinct().orderBy("column", "value")

@@ -34,7 +34,11 @@ def builder(app_name: str = "snapmart") -> SparkSession.Builder:
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings on a session somebody else created."""
+    """Set the runtime settings on a session somebody else created.
+
+    This changes that session for all its users: among others its time zone (UTC) and
+    the overwrite mode of partitioned writes (dynamic).
+    """
     for key, value in SETTINGS.items():
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)

@@ -8,6 +8,11 @@ from snapmart.functions.codes import digits_code
 from snapmart.operators.lookup import CODE_HEADERS, TITLE_HEADERS, code_and_name, load_catalog
 
 
+# Words of the headers of occupation catalogs with other names.
+CODE_HINTS = [["cod", "ocup"], ["cod", "cbo"]]
+TITLE_HINTS = [["titul"], ["descr"]]
+
+
 def read_delimited(
     spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1"
 ) -> DataFrame:
@@ -36,8 +41,8 @@ def occupation_catalog(
                 CODE_HEADERS,
                 TITLE_HEADERS,
                 clean=lambda c: digits_code(c, 6),
-                code_hints=[["cod", "ocup"], ["cod", "cbo"]],
-                text_hints=[["titul"], ["descr"]],
+                code_hints=CODE_HINTS,
+                text_hints=TITLE_HINTS,
             )
         except ValueError as e:
             problem = e

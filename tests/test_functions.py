@@ -99,3 +99,9 @@ def test_parameters():
             dates.parse_month(bad)
     with pytest.raises(ValueError):
         dates.check_month_range("2025-02", "2025-01")
+
+
+def test_slug_agrees_with_header_slug(spark):
+    texts = ["Ação e Reação", "  Å ý Ž ñ  ", "São-Paulo (SP)", "ß ﬁ Ĳ ½ x²", "ＡＢ c", "日本", "", "a__b", "ÀÉÎÕÜ Ç", "e\u0301te"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", codes.slug("t").alias("s")).collect()
+    assert {r.t: r.s or "" for r in got} == {t: codes.header_slug(t) for t in texts}

@@ -30,10 +30,10 @@ def conf(spark):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 def test_no_query_pairs_everything_or_leaves_the_jvm(spark):
-    from __spark_entry__ import queries
+    from registry import load_all
 
     bad = {}
-    for name, fn in queries().items():
+    for name, fn in load_all().QUERIES.items():
         if name.startswith(WRITES):
             continue
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import decontam, langid, packing, secrets, simhash
 from snapmart.llm.common import prepared, staged, table
+from snapmart.sources.staging import discard
 
 #: No SQL can train the language model or encode tokens.
 ORACLE_SQL = None
@@ -59,5 +60,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        last, docs = docs, staged(stage(spark, docs, sf_dir), name)
+        discard(last)  # what a stage kept is of no use once the next one has written
     return STAGES[-1][1](spark, docs, sf_dir)

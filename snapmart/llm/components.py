@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import staged
+from snapmart.sources.staging import discard
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,7 +31,8 @@ def components(links: DataFrame) -> DataFrame:
         # The least neighbour of a node is its new parent; the other ones hang on it too.
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(small, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = staged(moved.unionByName(small.withColumnRenamed("m", "v")).distinct(), "stars")
+        last, edges = edges, staged(moved.unionByName(small.withColumnRenamed("m", "v")).distinct(), "stars")
+        discard(last)
         before, state = state, _state(edges)
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

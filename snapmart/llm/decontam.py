@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from snapmart.llm.common import batches, fresh_names, staged
 from snapmart.llm.textkernel import ALNUM_LOWER, Words, words
+from snapmart.sources.staging import discard
 
 WINDOW, SHINGLE = 10, 3
 #: Bytes of windows that a block may hold; a block is what is broadcast.
@@ -82,6 +83,7 @@ def _blocks(found: DataFrame, limit: int) -> Iterator[Block]:
         w = words(pa.array([r.win for r in rows]), ALNUM_LOWER)
         parts = np.split(w.hashes(), w.first[1:-1])
         yield Block(text, np.diff(w.first), [r["items"] for r in rows], parts)
+    discard(grouped)
 
 
 class Index:

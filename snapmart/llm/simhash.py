@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm.common import batches, fresh_names, staged
 from snapmart.llm.components import components
+from snapmart.sources.staging import discard
 
 BITS, SEGMENTS = 64, 4
 WIDTH = BITS // SEGMENTS
@@ -123,6 +124,7 @@ def links(distinct: DataFrame, distance: int = 3, crowded: int = 1000) -> DataFr
 
     full = staged(own.groupBy("i", "key").count().where(F.col("count") > crowded).select("i", "key"), "crowded")
     if full.isEmpty():
+        discard(full)
         return _checked(x.hint("merge").join(y, ["i", "key"]), distance, budget)
     flips = F.transform(F.array(*map(F.lit, _masks(budget[3]))), lambda m: F.col("s2").bitwiseXOR(m))
     dense = y.join(full, ["i", "key"], "left_semi").withColumn("s2", F.explode(flips))
@@ -158,7 +160,10 @@ def near_groups(docs: DataFrame, k: int = 3, distance: int = 3, doc_id: str = "d
     roots = nodes.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("named"))
     linked = nodes.join(roots, "root")
     named = distinct.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("named", "least").alias("component_id"))
-    return prints.join(staged(named, "named"), "fp").select("doc_id", "fp", "root", "component_id")
+    named = staged(named, "named")
+    for done in (nodes, parts, distinct):
+        discard(done)
+    return prints.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 3, distance: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -201,7 +201,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, levels: int = 2, do
         texts = texts.drop("known").join(known, "rid")
         if size == length:
             break
-        texts = staged(texts, "survivors")
+        last, texts = texts, staged(texts, "survivors")
+        discard(last)
         size *= 2
 
     cut = _cut(texts, length).dropDuplicates(["id", "th"])

@@ -24,12 +24,22 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = signatures()
 
 
+#: Words that many texts hold; a gate only for keywords that have no other word of some length.
+COMMON = {"what", "want", "public", "source", "basis", "promote", "terms", "use", "copy", "material", "work", "blue", "file"}
+
+
+def _choices(keyword: str) -> set[str]:
+    words = set(keyword.split())
+    rare = words - COMMON
+    least = min(4, max(map(len, words)))
+    return {w for w in rare if len(w) >= least} or {w for w in words if len(w) >= least}
+
+
 def _gates() -> list[str]:
-    """Words one of which stands in every keyword, few of them: each next one is in the most keywords left.
-    Short words, which many texts hold, are taken only from keywords that have no longer one."""
+    """Words one of which stands in every keyword, few of them: each next one is in the most keywords left."""
     left, out = {r.keyword for r in RULES} | {p for p, _ in BASE}, []
     while left:
-        words = {w for k in left for w in k.split() if len(w) >= min(5, max(map(len, k.split())))}
+        words = set().union(*map(_choices, left))
         best = max(words, key=lambda w: (sum(w in k for k in left), len(w), w))
         out.append(best)
         left = {k for k in left if best not in k}

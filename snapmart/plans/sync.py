@@ -29,7 +29,7 @@ from snapmart.plans.schemas import schema
 from snapmart.sources.files import (
     PERIOD, append_rows, read_or_empty, scan_periods, write_periods, write_table,
 )
-from snapmart.sources.staging import child_names, delete_path, discard, has_data, stage
+from snapmart.sources.staging import child_names, delete_path, discard, has_data, restore, stage
 
 #: Sees what was written before it takes the place of the old rows; raises to keep these.
 Check = Callable[[DataFrame], None] | None
@@ -273,6 +273,7 @@ class Store:
         Months before ``since`` are left alone in a table with retention, which
         would drop them again.
         """
+        restore(self.spark, self.path(spec.name))
         if already_loaded(self.file_ledger(), spec.name, file, tag):
             return []
         if spec.strategy == MERGE_TABLE:

@@ -79,10 +79,25 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 # ---- switching folders --------------------------------------------------------------
 
-def beside(path: str) -> str:
-    """A new hidden folder next to ``path``, on the same filesystem."""
+def beside(path: str, kind: str = "new") -> str:
+    """A new folder next to ``path``, on the same filesystem. The dot hides it: Spark
+    lists names with an underscore if they hold an equals sign, as month folders do."""
     parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_{name}-{uuid.uuid4().hex}"
+    return f"{parent}/.{kind}-{name}-{uuid.uuid4().hex}"
+
+
+def restore(spark: SparkSession, path: str) -> None:
+    """Undo a switch that its driver did not live to end: what was set aside and has no
+    successor goes back, the rest of it is removed. For a table and its months."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    for folder, wanted in ((parent, f".old-{name}-"), (path, ".old-")):
+        for n in child_names(spark, folder):
+            if n.startswith(wanted):
+                live = f"{folder}/{n.removeprefix('.old-').rpartition('-')[0]}"
+                if path_exists(spark, live):
+                    delete_path(spark, f"{folder}/{n}")
+                else:
+                    _move(spark, f"{folder}/{n}", live)
 
 
 def switch(spark: SparkSession, pairs: list[tuple[str | None, str]]) -> None:
@@ -90,12 +105,13 @@ def switch(spark: SparkSession, pairs: list[tuple[str | None, str]]) -> None:
 
     What was live is set aside first and removed when all are in place. A move that
     fails puts everything back, so readers see the old folders or the new ones, each
-    whole. Between its two moves one folder is absent for a moment.
+    whole. Between its two moves one folder is absent for a moment; if the driver dies
+    just then, ``restore`` brings it back.
     """
     done: list[tuple[str | None, str, str | None]] = []
     try:
         for new, live in pairs:
-            old = beside(live) if path_exists(spark, live) else None
+            old = beside(live, "old") if path_exists(spark, live) else None
             if old:
                 _move(spark, live, old)
             done.append((new, live, old))

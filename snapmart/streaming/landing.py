@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from snapmart.plans.sync import fingerprint
 from snapmart.sources.files import PERIOD, scan_periods, write_periods
-from snapmart.sources.staging import beside, child_names, discard, has_data, stage, switch
+from snapmart.sources.staging import beside, child_names, discard, has_data, restore, stage, switch
 
 
 def file_stream(
@@ -67,6 +67,7 @@ def refresh_changed_periods(
     spark = stream.sparkSession
 
     def batch(rows: DataFrame, number: int) -> None:
+        restore(spark, target)
         stored = T.StructType([*rows.drop("batch").schema.fields, T.StructField("batch", T.StringType())])
         arrived = stage(rows.drop("batch").withColumn("batch", F.lit(str(number))), "arrived")
         touched = sorted(r[0] for r in arrived.select(PERIOD).distinct().collect())
@@ -124,6 +125,7 @@ def day_counts(stream: DataFrame, time: str, keys: list[str], out: str, checkpoi
         touched = sorted(r[0] for r in counts.select(PERIOD).distinct().collect())
         if touched:
             merged = counts
+            restore(spark, out)
             if has_data(spark, out):
                 before = scan_periods(spark, out, touched, counts.schema).where(F.col("batch") < number)
                 before = before.groupBy("day", *keys, PERIOD).agg(F.sum("n").alias("n"), F.max("batch").alias("batch"))

@@ -1,5 +1,6 @@
 import datetime as dt
 import itertools
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,7 +167,21 @@ def test_months_move_together_or_not_at_all(spark, store, monkeypatch):
         store.load(FACT, days(spark, ("2025-01-05", 8), ("2025-02-05", 9)), "f", "v2")
     monkeypatch.undo()
     assert [r[1] for r in content(store, "fact")] == [1, 2]
-    assert sorted(p.name for p in (__import__("pathlib").Path(store.root)).iterdir() if p.name.startswith("_fact")) == []
+    assert [p.name for p in Path(store.path("fact")).iterdir() if p.name.startswith(".old")] == []
+    assert [p.name for p in Path(store.root).iterdir() if p.name.startswith(".")] == []
+
+
+def test_a_switch_cut_short_is_undone(spark, store):
+    store.load(FACT, days(spark, ("2025-01-05", 1), ("2025-02-05", 2)), "f", "v1")
+    store.load(DIM, spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), "d", "v1")
+    fact, root = Path(store.path("fact")), Path(store.root)
+    (fact / "period=202501").rename(fact / ".old-period=202501-0f")  # the driver died here
+    (root / "dim").rename(root / ".old-dim-0f")
+    store.load(DIM, spark.createDataFrame([(2, "c")], "id int, v string"), "d", "v2")
+    assert content(store, "dim") == [(1, "a"), (2, "c")]
+    assert [r[1] for r in content(store, "fact")] == [2]  # hidden, not read as a month
+    assert store.load(FACT, days(spark, ("2025-01-05", 1), ("2025-02-05", 2)), "f", "v2") == []
+    assert [r[1] for r in content(store, "fact")] == [1, 2]
 
 
 def test_counts_are_checked_before_the_switch(spark, store):
@@ -186,7 +201,7 @@ def test_moved_key_is_kept_once(spark, store):
     store.load(spec, rows((1, "2025-01-05"), (2, "2025-01-06"), (3, "2025-03-01")), "m", "v1")
     assert store.load(spec, rows((1, "2025-02-05"), (3, "2025-02-06")), "m", "v2") == [("202502", "new")]
     assert [r[:2] for r in content(store, "moved")] == [(1, dt.date(2025, 2, 5)), (2, dt.date(2025, 1, 6)), (3, dt.date(2025, 2, 6))]
-    assert not (__import__("pathlib").Path(store.path("moved")) / "period=202503").exists()
+    assert not (Path(store.path("moved")) / "period=202503").exists()
 
 
 def test_months_are_checked(spark, store):

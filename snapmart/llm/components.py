@@ -2,8 +2,8 @@
 
 Each round hangs the larger neighbours of a node, then the smaller ones, on the
 least node known; the rounds end with one star a component. The least neighbour
-is an aggregate joined back to the links, so a node with very many links is
-spread over tasks like any skewed join key.
+is an aggregate joined back to the links. It is written down before, as adaptive
+execution splits a node with very many links only between plain exchanges.
 """
 
 from __future__ import annotations
@@ -26,13 +26,15 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # The least neighbour of a node is its new parent; the other ones hang on it too.
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = staged(large, "large")
+        small = staged(large.groupBy("u").agg(F.min("v").alias("m")), "small")
         moved = large.join(small, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         last, edges = edges, staged(moved.unionByName(small.withColumnRenamed("m", "v")).distinct(), "stars")
-        discard(last)
+        for done in (last, least, large, small):
+            discard(done)
         before, state = state, _state(edges)
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -7,12 +7,15 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from registry.core import query, table
-from snapmart.functions.dates import period_key, snapshot_key
+from snapmart.functions.dates import day_range, period_key, snapshot_key
+from snapmart.operators import ids
 from snapmart.plans import sync
+from snapmart.plans.pipeline import run_isolated
 from snapmart.plans.sync import MERGE_PERIODS, MERGE_TABLE, REPLACE_PERIODS, Store, TableSpec
 from snapmart.sources.files import (
     discover_periods, read_table, scan_named_files, scan_periods, source_inventory, write_periods,
@@ -432,3 +435,50 @@ def stream_month_counts(spark, d):
     out, checkpoint = new_path(spark, "counts"), new_path(spark, "checkpoint")
     landing.day_counts(landing.file_stream(spark, path, shifted.schema, 2), "ts", ["event_type"], out, checkpoint)
     return landing.month_counts(spark.read.parquet(out), ["event_type"])
+
+
+# ---- guards -----------------------------------------------------------------------
+
+def refused(step, message: str) -> bool:
+    """True when the step fails for this reason."""
+    try:
+        step()
+    except Exception as e:
+        if message in str(e):
+            return True
+        raise
+    return False
+
+
+@query("guards", """
+SELECT 'block overflow' AS guard, true AS held, count(*) AS row_count FROM lineitem
+UNION ALL SELECT 'file loaded twice', true, count(*) FROM lineitem
+UNION ALL SELECT 'no ledger', true, count(*) FROM lineitem
+UNION ALL SELECT 'repeated upsert key', true, count(*) FROM orders
+UNION ALL SELECT 'range backwards', true, count(*) FROM lineitem
+UNION ALL SELECT 'failing step stops no other', true, count(*) FROM lineitem""")
+def guards(spark, d):
+    """What has to be refused is, on the rows of the test tables, and leaves the tables as they were."""
+    rows, orders = lines(spark, d), table(spark, d, "orders")
+    store, other = fresh_store(spark), fresh_store(spark)
+    store.load(LINES, rows, "lines.parquet", "v1")
+    write_periods(sync.with_period(rows, LINES), other.path("lines"))
+    twice = orders.select(F.col("o_custkey").alias("id"), F.col("o_orderdate").cast("date").alias("seen_on"))
+    spec = TableSpec("moved", MERGE_PERIODS, ["id"], period_date="seen_on")
+    done = []
+
+    def isolated() -> bool:
+        steps = {"broken": lambda: rows.select(F.raise_error(F.lit("broken step"))).collect(), "good": lambda: done.append(rows.count())}
+        return refused(lambda: run_isolated(steps), "broken step") and len(done) == 1
+
+    numbered = sync.with_period(rows, LINES)
+    held = {
+        "block overflow": (refused(lambda: ids.block_ids(numbered, "period", ["l_orderkey"], "id", 1990, 2).write.format("noop").mode("overwrite").save(), "more than 1 rows"), rows),
+        "file loaded twice": (store.load(LINES, rows, "lines.parquet", "v1") == [], spark.read.parquet(store.path("lines"))),
+        "no ledger": (refused(lambda: other.load(LINES, rows, "lines.parquet", "v1"), "bootstrap"), spark.read.parquet(other.path("lines"))),
+        "repeated upsert key": (refused(lambda: store.load(spec, twice, "moved.parquet", "v1"), "duplicate row"), orders),
+        "range backwards": (refused(lambda: day_range("l_shipdate", dt.date(1998, 1, 2), dt.date(1998, 1, 1)), "before it starts"), rows),
+        "failing step stops no other": (isolated(), rows),
+    }
+    parts = [df.agg(F.count("*").alias("row_count")).select(F.lit(g).alias("guard"), F.lit(ok).alias("held"), "row_count") for g, (ok, df) in held.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -153,6 +153,22 @@ def test_landing_run(spark, tmp_path):
     assert pipeline.land_delivered(spark, str(delivered), root, dt.date(2025, 9, 15), 2, ["RO", "SP"]) == []
 
 
+def test_landing_run_delivers_all_months(spark, monkeypatch):
+    from registry import layers
+
+    d, seen, land = "/root/testdata/sf0.001", set(), pipeline.land_delivered
+
+    def watched(spark, delivered, *rest):
+        seen.update(n[-14:-8] for n in layers.child_names(spark, delivered))
+        return land(spark, delivered, *rest)
+
+    monkeypatch.setattr(pipeline, "land_delivered", watched)
+    landed = {r.period for r in layers.landing_run(spark, d).collect()}
+    lines = layers._joined(spark, d).select(layers.period_key("l_shipdate").alias("period"))
+    assert seen == {r.period for r in lines.distinct().collect()} and len(seen) > 12
+    assert landed <= {"199810", "199811", "199812"}
+
+
 def test_landing_list(spark):
     df = pipeline.landing_list(spark, dt.date(2026, 9, 15), 12, ["AC", "SP"])
     assert df.count() == 12 * 2 * 5

@@ -2,7 +2,7 @@
 
 The text a signature sees is lower case words with one space between them and one
 at either end, so ``GPL-3.0+`` reads ``gpl 3 0``. A signature is a label, a priority,
-a keyword without which it cannot match, and a pattern of whole words. Priorities:
+a keyword that begins at a word of every text its pattern matches, and a pattern of whole words. Priorities:
 5 tags and full names with a version, 4 short names with a version or a quoted
 passage of the licence, 3 names without a version, 2 addresses, 1 general notices.
 """
@@ -40,7 +40,7 @@ gpl-2.0-or-later | 4 | gplv2 | gplv2 or (?:any )?later
 gpl-3.0-or-later | 4 | gplv3 | gplv3 or (?:any )?later
 gpl | 2 | licenses gpl | gnu org licenses (?:old licenses )?gpl(?: \d(?: \d)?)?(?: html| txt)?
 gpl | 3 | licensed under the gpl | licensed under the gpl
-gpl | 4 | gpl preamble | the licenses for most software are designed to take away your freedom
+gpl | 4 | take away your freedom | the licenses for most software are designed to take away your freedom
 gpl | 4 | redistribute it | you can redistribute it and or modify it under the terms of the gnu general public license
 lgpl | 3 | lesser general public license | (?:gnu )?lesser general public license
 lgpl | 3 | library general public license | (?:gnu )?library general public license
@@ -86,7 +86,8 @@ x11 | 3 | x11 license | x11 license
 bsd | 3 | bsd | bsd (?:style )?licen[cs]e
 bsd | 3 | berkeley software distribution | berkeley software distribution
 bsd-1-clause | 5 | bsd | (?:bsd 1 clause|1 clause bsd|one clause bsd)(?: license)?
-bsd-2-clause | 5 | bsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: license)?
+bsd-2-clause | 5 | bsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)(?: license)?
+bsd-2-clause | 5 | freebsd | freebsd(?: license)?
 bsd-3-clause | 5 | bsd | (?:bsd 3 clause|3 clause bsd|three clause bsd|modified bsd|new bsd|revised bsd)(?: license)?
 bsd-4-clause | 5 | bsd | (?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)(?: license)?
 0bsd | 5 | bsd | (?:zero clause bsd|bsd zero clause|0 clause bsd)(?: license)?
@@ -204,9 +205,9 @@ cc-by-nc-nd | 2 | creativecommons org | creativecommons org licenses by nc nd(?:
 cc0-1.0 | 4 | cc0 | cc0(?: 1 0)?(?: universal)?
 cc0-1.0 | 3 | creative commons zero | creative commons zero
 cc0-1.0 | 2 | creativecommons org | creativecommons org publicdomain zero(?: 1 0)?
-odbl-1.0 | 3 | open database license | open database licen[cs]e
+odbl-1.0 | 3 | open database licen | open database licen[cs]e
 odc-by-1.0 | 3 | open data commons attribution | open data commons attribution licen[cs]e
-pddl-1.0 | 3 | public domain dedication and license | public domain dedication and licen[cs]e
+pddl-1.0 | 3 | public domain dedication and licen | public domain dedication and licen[cs]e
 ogl | 3 | open government licen | open government licen[cs]e(?: (?:version |v )?\d(?: \d)?)?
 public-domain | 3 | public domain | (?:in|into|to) the public domain
 public-domain | 3 | public domain | public domain (?:work|mark|dedication)
@@ -221,12 +222,14 @@ copyright | 1 | copyrighted | copyrighted (?:material|work)
 proprietary | 1 | confidential | proprietary and confidential
 proprietary | 1 | unauthorized | unauthorized (?:copying|reproduction|distribution|use) (?:of this file |of this document )?(?:via any medium )?is strictly prohibited
 no-redistribution | 1 | written permission | may not be reproduced (?:or distributed )?without (?:prior )?written permission
-non-commercial | 1 | commercial use | (?:for )?non ?commercial use only
-non-commercial | 1 | commercial purposes | for non ?commercial purposes(?: only)?
+non-commercial | 1 | commercial use | (?:for )?non commercial use only
+non-commercial | 1 | noncommercial use | (?:for )?noncommercial use only
+non-commercial | 1 | commercial purposes | for non commercial purposes(?: only)?
+non-commercial | 1 | noncommercial purposes | for noncommercial purposes(?: only)?
 license-notice | 1 | licensed under | licensed under(?: the terms of)?
 license-notice | 1 | license agreement | (?:end user )?license agreement
 license-notice | 1 | terms of the license | under the terms of the license
-no-warranty | 1 | without warranty | without (?:any )?warranty(?: of any kind)?
+no-warranty | 1 | warranty | without (?:any )?warranty(?: of any kind)?
 """
 
 

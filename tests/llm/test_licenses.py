@@ -68,3 +68,39 @@ def test_gates():
 def test_rules_are_many_and_empty_table(spark):
     assert len(signatures()) >= 200
     assert licenses.licenses(frame(spark).limit(0)).count() == 0
+
+
+def alternatives(pattern):
+    """Every text that a pattern matches, a digit standing for all."""
+    from re import _parser
+
+    def expand(part):
+        out = [""]
+        for op, arg in part:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(arg)]
+            elif name == "IN":
+                more = ["7"] if str(arg[0][0]) == "CATEGORY" else [chr(c) for _, c in arg]
+            elif name == "SUBPATTERN":
+                more = expand(arg[-1])
+            elif name == "BRANCH":
+                more = [x for b in arg[1] for x in expand(b)]
+            else:
+                assert name == "MAX_REPEAT" and arg[:2] == (0, 1), name
+                more = ["", *expand(arg[2])]
+            out = [a + b for a in out for b in more]
+        return out
+
+    return expand(_parser.parse(pattern))
+
+
+def test_every_alternative_holds_its_keyword():
+    lost = [(s.keyword, t) for s in signatures() for t in alternatives(s.pattern) if f" {s.keyword}" not in f" {t} "]
+    assert lost == []
+
+
+def test_alternatives_match_without_keywords(spark):
+    texts = sorted({t for s in signatures() for t in alternatives(s.pattern)})
+    for r in licenses.licenses(spark.createDataFrame([(t,) for t in texts], "text string")).collect():
+        assert [tuple(x) for x in r.found] == brute_found(r.text), r.text

@@ -173,11 +173,12 @@ def keep_one(docs: DataFrame, k: int = 3, distance: int = 3, doc_id: str = "doc_
     """
     group, times, key, copy = fresh_names(docs, "component", "times", "key", "copy")
     found = staged(near_groups(docs, k, distance, doc_id, text), "groups")
-    stay = found.where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    once = stay.groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(times))
-    rows = docs.join(once, docs[doc_id].eqNullSafe(once[key])).drop(key)
-    # An id found more than once does not tell its rows apart; for those, the fingerprint is computed anew.
-    several = with_fingerprint(rows.where(F.col(times) > 1).withColumn(copy, F.col(text)), k, copy, key)
-    groups = stay.select(F.col("fp").alias(key), F.col("root").alias(group), F.col("component_id").alias(copy)).distinct()
+    names = F.col("component_id").eqNullSafe(F.col("doc_id"))
+    ids = found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(times), F.max(names).alias(copy))
+    rows = docs.join(ids.where(F.col(copy)).drop(copy), docs[doc_id] == F.col(key)).drop(key)
+    # An id that several rows have, whether they stay or not, does not tell them apart, nor does none; for those, the fingerprint is computed anew.
+    unsure = rows.where(F.col(times) > 1).select(*docs.columns).unionByName(docs.where(F.col(doc_id).isNull()))
+    several = with_fingerprint(unsure.withColumn(copy, F.col(text)), k, copy, key)
+    groups = found.where(names).select(F.col("fp").alias(key), F.col("root").alias(group), F.col("component_id").alias(copy)).distinct()
     several = several.join(groups, key).where(F.col(copy).eqNullSafe(F.col(doc_id))).dropDuplicates([group])
     return rows.where(F.col(times) == 1).select(*docs.columns).unionByName(several.select(*docs.columns))

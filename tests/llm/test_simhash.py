@@ -81,6 +81,19 @@ def test_keep_one_repeated_and_null_ids(spark):
     assert len(got) == 3
 
 
+def test_keep_one_drops_copies_without_an_id(spark):
+    near = BASE + " tail"
+    assert brute_groups([(1, BASE), (2, near)])[1][2] == 1
+    got = simhash.keep_one(spark.createDataFrame([(5, BASE, "x"), (None, near, "x"), (None, "entirely different words stand here", "x")], SCHEMA)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "entirely different words stand here"), (5, BASE)]
+
+
+def test_keep_one_drops_the_copy_that_shares_its_id(spark):
+    rows = [(3, BASE, "x"), (7, BASE + " tail", "x"), (7, "entirely different words stand here", "x")]
+    got = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(3, BASE), (7, "entirely different words stand here")]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash.near_groups(docs).count() == 0

@@ -8,8 +8,8 @@ regression a language separates it from the rest. Texts are scored in batches: o
 product with the landmarks' n-grams, one with the regressions' weights.
 
 The model is fitted on a bounded sample (``SAMPLE`` texts in all, ``PER_LANGUAGE`` of
-each language, ``LONGEST`` characters at most), drawn by a hash of the id; every text is
-scored whole.
+each language, of a longer one ``LONGEST`` characters from its first letter), drawn by a
+hash of the id; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -132,7 +132,8 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """
     usable = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = usable.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & ~held_out(F.col("doc_id")))
-    usable = usable.where(F.char_length("text").between(1, LONGEST))
+    piece = F.regexp_extract("text", rf"\p{{L}}[\s\S]{{0,{LONGEST - 1}}}", 0)
+    usable = usable.withColumn("text", F.when(F.char_length("text") <= LONGEST, F.col("text")).otherwise(piece)).where(F.char_length("text") > 0)
     counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return fit([], [])
@@ -151,27 +152,30 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return fit([r.text for r in kept], [r.lang for r in kept])
 
 
-def identified(docs: DataFrame, model: Model, columns: list[str] | None = None, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identified(docs: DataFrame, model: Model, columns: list[str] | None = None, text: str = "text", names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """``columns`` of the documents (all by default), the predicted language and its score.
 
     The prediction sees the text alone. A text that is null or has no letter is
     ``und`` with score 0. Rows come back as often as they came; a column that bears
-    one of ``names`` is replaced.
+    one of ``names`` is replaced. A third name adds whether the text has a letter.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in {n.lower() for n in names}]
     schema = docs.select(*columns).schema.add(names[0], "string").add(names[1], "double")
+    for name in names[2:]:
+        schema = schema.add(name, "boolean")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by BUCKETS x LANDMARKS
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(text, rows):
             found, scores = shared.value.predict(texts.to_pylist())
             own = [pa.array(found, pa.string()), pa.array(scores)]
+            own += [pa.array([bool(_LETTER.search(t)) for t in texts.to_pylist()], pa.bool_()) for _ in names[2:]]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in columns), *own], [*columns, *names])
 
     return docs.select(*dict.fromkeys([*columns, text])).mapInArrow(run, schema)
 
 
 def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The documents whose language is known, all columns."""
-    name, score = fresh_names(docs, "lang_pred", "score")
-    return identified(docs, model, text=text, names=(name, score)).where(F.col(name) != UNKNOWN).select(*docs.columns)
+    """The documents with a letter, all columns: those that a model, if there is one, gives a language."""
+    names = tuple(fresh_names(docs, "lang_pred", "score", "letter"))
+    return identified(docs, model, text=text, names=names).where(F.col(names[2])).select(*docs.columns)

@@ -47,6 +47,21 @@ def test_without_labels(spark):
     assert model.predict(["some words"]) [0] == ["und"]
 
 
+def test_documents_stay_without_a_model(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None), (None, "\u00e9", None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.with_language(docs, langid.train(docs)).collect()] == [1, None]
+
+
+def test_long_texts_are_learned_from(spark):
+    long = {"en": "the and of with that this ", "de": "der die das und mit von "}
+    rows = [(i, "12 " * langid.LONGEST + long[n] * 2000, n) for i in range(1, 13) for n in long]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.languages == ["de", "en"]
+    assert model.predict(["the and of with", "und mit von der"])[0] == ["en", "de"]
+    assert langid.with_language(docs, model).count() == len(rows)
+
+
 def test_kernel_is_the_share_of_common_ngrams():
     def grams(t):
         return {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}

@@ -3,8 +3,9 @@
 A candidate is a run of token characters. A window slides over it; the counts of
 the class's characters change by one in and one out, and with them the sum of
 c * log2(c), from which the entropy of the window follows. The stretch from the
-first to the last window above the class's threshold is a secret, unless its
-candidate is on the allow-list or lies inside a match of the patterns. Built-in
+first to the last window above the class's threshold is a secret, unless it lies
+inside a match of the patterns. What the allow-list excuses is cut out of a candidate,
+and the pieces left are candidates of their own. Built-in
 functions only; texts without a match pass a pattern test and nothing else.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.common import fresh_names, let
-from snapmart.llm.spans import matches, within
+from snapmart.llm.spans import SPAN, between, matches, within
 
 
 @dataclass(frozen=True)
@@ -60,13 +61,15 @@ CLASSES = (
     CharacterClass("entropy_hex", r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", "0123456789abcdef", 20, 2.9, fold=True),
     CharacterClass("entropy_token", r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", 20, 3.9),
 )
-#: Candidates that are no secrets whatever their entropy.
+#: What is no secret whatever its entropy: the last one excuses a candidate as a whole, of the others see ``EXCUSED``.
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|your[_-]",
     r"(?i)0123456789|abcdefghij",
     r"(.)\1{7}",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
 )
+#: What the others excuse: a run of one character; a listed word or sequence, the letters and digits next to it and what sets them off.
+EXCUSED = r"(.)\1{7,}|[/=_-]?[A-Za-z0-9]{0,64}(?i:example|sample|dummy|placeholder|changeme|your[_-]|0123456789|abcdefghij)[A-Za-z0-9]{0,64}[/=_-]?"
 KINDS = [p.kind for p in PATTERNS] + [c.kind for c in CLASSES]
 SPANS = "array<struct<start:int,rank:int,past:int,kind:string>>"
 
@@ -116,17 +119,21 @@ def _class_span(c: Column, cls: CharacterClass) -> Column:
 
 
 def _entropy_spans(text: Column) -> Column:
-    allowed = "|".join(f"(?:{a})" for a in ALLOWED if "\\1" not in a)
-    repeats = next(a for a in ALLOWED if "\\1" in a)
+    def pieces(c: Column) -> Column:
+        left = F.filter(between(c["text"], F.lit(EXCUSED)), lambda p: F.char_length(p["text"]) >= min(cls.window for cls in CLASSES))
+        left = F.transform(left, lambda p: F.struct((c["start"] + p["start"]).alias("start"), (c["start"] + p["past"]).alias("past"), p["text"].alias("text")))
+        excused = c["text"].rlike(ALLOWED[0]) | c["text"].rlike(ALLOWED[1]) | c["text"].rlike(ALLOWED[2])
+        return F.when(c["text"].rlike(ALLOWED[3]), F.array().cast(SPAN)).when(excused, left).otherwise(F.array(c))
 
     def one(c: Column) -> Column:
         none = F.lit(None).cast("struct<start:int,rank:int,past:int,kind:string>")
         out = none
         for cls in reversed(CLASSES):
             out = F.when(c["text"].rlike(cls.regex), _class_span(c, cls)).otherwise(out)
-        return F.when(~c["text"].rlike(allowed) & ~c["text"].rlike(repeats), out)
+        return out
 
-    found = F.filter(F.transform(matches(text, F.lit(CANDIDATE)), one), lambda s: s.isNotNull())
+    candidates = F.flatten(F.transform(matches(text, F.lit(CANDIDATE)), pieces))
+    found = F.filter(F.transform(candidates, one), lambda s: s.isNotNull())
     return F.when(text.rlike(CANDIDATE), found).otherwise(F.array().cast(SPANS))
 
 

@@ -31,6 +31,21 @@ def matches(text: Column, pattern: Column) -> Column:
     return F.when(F.size(found) > 0, walked).otherwise(F.array().cast(SPAN))
 
 
+def between(text: Column, pattern: Column) -> Column:
+    """What lies before, between and behind the matches of a pattern as (start, past, text), in order; some of it may be empty."""
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    steps = F.zip_with(F.split(text, pattern, -1), found, lambda a, b: F.struct(a.alias("text"), F.char_length(a).alias("n"), F.coalesce(F.char_length(b), F.lit(0)).alias("gap")))
+    return F.aggregate(
+        steps,
+        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
+        lambda state, s: F.struct(
+            (state["at"] + s["n"] + s["gap"]).alias("at"),
+            F.concat(state["out"], F.array(F.struct(state["at"].alias("start"), (state["at"] + s["n"]).alias("past"), s["text"].alias("text")))).alias("out"),
+        ),
+        lambda state: state["out"],
+    )
+
+
 def within(inner: Column, outer: Column) -> Column:
     return (outer["start"] <= inner["start"]) & (inner["past"] <= outer["past"])
 

@@ -87,6 +87,19 @@ def test_documents_match_brute_force(spark):
         assert r.s == ",".join(f"{k}:{a}:{b}" for a, _, b, k in brute_all(r.text))
 
 
+def test_allowed_parts_hide_no_other(spark):
+    ssh = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAABlwAAAAdzc2gtcn" + KEY
+    texts = {
+        "run": (f"é {ssh}", KEY), "path": (f"/data/sample/{KEY}", KEY), "hex": (f"sample/{UPPER_HEX}", UPPER_HEX), "joined": (f"example_{KEY}", KEY), "sequence": (f"{KEY}/abcdefghij", KEY),
+        "behind": (f"{KEY}={'0' * 9}={KEY[::-1]}", KEY[::-1]), "word": (f"example{KEY}", ""), "repeats": ("g" * 30 + "1" + "g" * 30, ""), "uuid": ("123e4567-e89b-12d3-a456-426614174000", ""),
+    }
+    rows = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "id string, text string")
+    for r in secrets.masked(rows).collect():
+        text, hidden = texts[r.id]
+        assert (hidden not in r.text) if hidden else r.text == text, r
+        assert UPPER_HEX not in r.text
+
+
 def test_masked(spark):
     got = secrets.masked(frame(spark))
     assert got.columns == frame(spark).columns

@@ -2,6 +2,8 @@
 
 A block is the text between two block-level tags. Tags may be unclosed, misnested or
 cut off; scripts, styles and the like are no text; character references are decoded.
+What stands in formulas, drawings, media, lists of choices and the like is text with
+these in its path, for the labeller to judge.
 """
 
 from __future__ import annotations
@@ -20,17 +22,21 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _PART = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "audio", "video", "select"}
+#: Elements without markup in them, none of it text.
+RAW = {"script", "style", "textarea", "iframe", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt",
     "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr", "br",
+    "mfrac", "mi", "mn", "mo", "mover", "mroot", "mrow", "ms", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "munderover", "semantics", "tspan",
 }
-HEAD = VOID | RAW | {"head", "title"}
+HEAD = VOID | RAW | {"head", "title", "noscript", "template"}
+#: A block-level start tag ends these, as they hold no such blocks.
+FOREIGN = {"svg", "math"}
 #: A start tag ends these open elements, unless one of the walls stands between.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 NO_PARAGRAPH = {"article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul"}
-WALLS = {"ul", "ol", "dl", "table", "div", "section", "article", "aside", "main", "nav", "form", "body", "html"}
+WALLS = {"foreignobject", "object", "template", "ul", "ol", "dl", "table", "div", "section", "article", "aside", "main", "nav", "form", "body", "html"}
 
 
 @dataclass
@@ -130,10 +136,13 @@ def parse(source: str) -> list[Block]:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
                 at = end.end() if end else n
             continue
-        if tag in VOID:
+        if tag in VOID or (m[3].endswith("/") and FOREIGN & held.keys()):
             continue
         if "head" in held and tag not in HEAD:
             close({"head"})
+        if tag == "p" or tag in NO_PARAGRAPH:
+            for x in FOREIGN & held.keys():
+                close({x})
         if tag in CLOSES:
             close(CLOSES[tag])
         elif tag in NO_PARAGRAPH and "p" in held:

@@ -53,6 +53,19 @@ def test_a_page_of_its_own(model):
     assert extraction.main_text([source], model) == ["Head & tail\nFirst paragraph, with some more words in it.\nSecond <one> é."]
 
 
+HELD = ("svg", "video", "audio", "object", "canvas", "select", "noscript", "template", "math")
+
+
+@pytest.mark.parametrize("tag", HELD)
+def test_text_of_and_behind_other_elements(model, tag):
+    sentence = "Some plain words, told here at length, make up this paragraph."
+    unclosed = f"<article><p>First one.</p><{tag} class=x><p>{sentence}</p><p>{sentence}</p></article><footer>&copy; 2024</footer>"
+    assert extraction.main_text([unclosed], model) == [f"First one.\n{sentence}\n{sentence}"]
+    inside = blocks.parse(f"<article><p>First one.</p><{tag}>{sentence}</{tag}><p>Last one.</p></article>")
+    assert [b.text for b in inside] == ["First one.", sentence, "Last one."]
+    assert [tag in b.path for b in inside] == [False, True, False]
+
+
 def test_odd_pages(spark, model):
     rows = [(1, None, "t"), (2, "", "t"), (3, "<", "t"), (4, "<p", "t"), (5, "<article><p>cut off &am", "t"), (6, "<!-- never closed <p>x", "t"), (7, "<script>alert(1)", "t"),
             (8, "</div></p></b>" * 50, "t"), (9, "<article>" + "<div><b>" * 3000 + "deep", "t"), (9, "<article><p>" + "word " * 200_000 + "</p></article>", "t"), (10, "<p a='<'>x</p><article><p>A.</p></article>", "t")]

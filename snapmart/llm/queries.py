@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import decontam, extraction, langid, licenses, packing, quality, secrets, sharding, simhash, substrings
+from snapmart.llm import decontam, extraction, factorisation, langid, licenses, packing, quality, secrets, sharding, simhash, substrings
 from snapmart.llm.common import prepared, table
 from snapmart.sources.staging import new_path
 
@@ -138,3 +138,11 @@ def op8_extraction(spark, d):
     pages = table(spark, d, "pages")
     found = extraction.extracted(pages, extraction.train(pages), ["page_id", "url"])
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op11_quality_classifier")
+def op11_quality_classifier(spark, d):
+    docs, metadata = table(spark, d, "documents"), ["n_chars"]
+    model = factorisation.train(docs, table(spark, d, "labels"), metadata=metadata)
+    found = factorisation.scored(docs, model, ["doc_id"], metadata=metadata)
+    return found.select("doc_id", factorisation.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

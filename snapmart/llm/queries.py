@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import decontam, extraction, factorisation, langid, licenses, packing, quality, secrets, sharding, simhash, substrings
+from snapmart.llm import (
+    decontam, extraction, factorisation, langid, licenses, packing, quality, secrets, sharding, simhash, substrings, turnrepair,
+)
 from snapmart.llm.common import prepared, table
 from snapmart.sources.staging import new_path
 
@@ -146,3 +148,8 @@ def op11_quality_classifier(spark, d):
     model = factorisation.train(docs, table(spark, d, "labels"), metadata=metadata)
     found = factorisation.scored(docs, model, ["doc_id"], metadata=metadata)
     return found.select("doc_id", factorisation.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark, d):
+    return turnrepair.repaired(turnrepair.damaged(table(spark, d, "conversations")))

@@ -5,7 +5,8 @@ task. Instead the rows are range-partitioned by the full order, staged once, and
 numbered by *position in partition + rows in earlier partitions*:
 
 * one range shuffle, whatever the size of a group: a month, or a key that repeats
-  in a third of all rows, spans as many partitions as it needs;
+  in a third of all rows, spans as many partitions as it needs. The staged table is kept in
+  buckets of the partition number, so what is counted inside a partition is not shuffled again;
 * rows equal in every column are told apart by the input partition they came from,
   so a repeated row is split too, in pieces no larger than an input partition; a
   re-run task gives its rows the same place;
@@ -23,7 +24,7 @@ from snapmart.functions.codes import normalise_code, zero_fill
 from snapmart.functions.hashing import row_hash
 from snapmart.operators.aggregate import latest_per_key
 from snapmart.operators.quality import require
-from snapmart.sources.staging import stage
+from snapmart.sources.staging import stage_grouped
 
 # Fixed value: start year of the id blocks.
 BASE_YEAR = 2000
@@ -38,11 +39,12 @@ _PARTITION_SHIFT = 33  # monotonically_increasing_id: partition number, then row
 _LOCAL = ["_pos", "_pid"]
 
 
-def stage_in_order(df: DataFrame, order_by: list[str]) -> DataFrame:
+def stage_in_order(df: DataFrame, order_by: list[str], keep: list[str] | None = None) -> DataFrame:
     """The rows in one global order, with their place in it (``_pid``, ``_pos``).
 
     Order: ``order_by`` ascending, NULLs last, then a hash of the whole row, so
-    only rows equal throughout are interchangeable.
+    only rows equal throughout are interchangeable. ``keep`` names the columns that
+    are staged, all by default.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_hash"), F.col("_tie")]
     ranged = (
@@ -50,11 +52,9 @@ def stage_in_order(df: DataFrame, order_by: list[str]) -> DataFrame:
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id())
-        .drop("_hash", "_tie")
-    )
-    return stage(ranged, "ordered").withColumn(
-        "_pid", F.shiftright(F.col("_pos"), _PARTITION_SHIFT)
+        .withColumn("_pid", F.shiftright(F.col("_pos"), _PARTITION_SHIFT))
     )
+    return stage_grouped(ranged.select(*(keep or df.columns), *_LOCAL), "ordered", "_pid")
 
 
 def add_position(ordered: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -75,42 +75,55 @@ def add_position(ordered: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def add_occurrence(ordered: DataFrame, keys: list[str], name: str, total: str) -> DataFrame:
-    """1-based number and group size for *many* groups of any size.
+    """1-based number and group size for *many* groups of any size."""
+    return scan_groups(ordered, keys, name, total)
+
 
-    ``keys`` leads the staged order, so a group lies in neighbouring partitions.
-    Inside a partition a window numbers it; groups at a partition border get the
-    rows counted before. A border table has at most two rows per partition.
+def scan_groups(ordered: DataFrame, keys: list[str], name: str, total: str, sums: dict[str, Column] | None = None) -> DataFrame:
+    """Number, group size and running sums for *many* groups of any size.
+
+    ``keys`` leads the staged order, so a group lies in neighbouring partitions. Each
+    partition numbers and adds up its own rows. Of its first and its last group it hands on
+    the totals; these, at most two rows a partition, are carried over the borders and
+    broadcast back. ``sums`` names the running sums, the row's own value included. The
+    staged table is read twice and not shuffled.
     """
-    ends = ordered.groupBy("_pid").agg(F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
-    ends = ends.select(F.explode(F.array("_lo", "_hi")).alias("_pos"))
-    at_border = ordered.join(F.broadcast(ends), "_pos", "left_semi").select(*keys, "_pid").distinct()
-    per_part = (
-        _join_same(ordered.select(*keys, "_pid"), F.broadcast(at_border), [*keys, "_pid"])
-        .groupBy(*keys, "_pid")
-        .agg(F.count("*").alias("_n"))
-    )
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    border = per_part.withColumns(
-        {
-            "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
-            "_all": F.sum("_n").over(group),
-        }
-    ).drop("_n")
+    sums = sums or {}
     here = Window.partitionBy("_pid", *keys)
-    numbered = ordered.withColumns(
+    so_far = here.orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ordered.withColumns(
         {
             "_local": F.row_number().over(here.orderBy("_pos")),
             "_count": F.count("*").over(here),
+            **{f"_sum_{n}": F.sum(c).over(so_far) for n, c in sums.items()},
         }
     )
-    joined = _join_same(numbered, F.broadcast(border), [*keys, "_pid"], "left")
-    return joined.withColumns(
+    carried = ["_count", *(f"_sum_{n}" for n in sums)]
+    whole = F.struct(*keys, *carried)
+    ends = (
+        local.where(F.col("_local") == F.col("_count"))  # the last row of a group has its totals
+        .groupBy("_pid")
+        .agg(F.min_by(whole, "_pos").alias("_first"), F.max_by(whole, "_pos").alias("_last"))
+        .select("_pid", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_end"))
+        .select("_pid", "_end.*")
+    )
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    border = ends.select(
+        "_pid",
+        *keys,
+        *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before{c}") for c in carried),
+        F.sum("_count").over(group).alias("_all"),
+    )
+    joined = _join_same(local, F.broadcast(border), [*keys, "_pid"], "left")
+    numbered = joined.withColumns(
         {
-            name: F.col("_local") + F.coalesce("_before", F.lit(0)),
+            name: F.col("_local") + F.coalesce("_before_count", F.lit(0)),
             total: F.coalesce("_all", "_count"),
+            **{n: F.col(f"_sum_{n}") + F.coalesce(f"_before_sum_{n}", F.lit(0)) for n in sums},
         }
-    ).drop("_local", "_count", "_before", "_all")
+    )
+    return numbered.drop("_local", "_all", *carried, *(f"_before{c}" for c in carried))
 
 
 def drop_place(df: DataFrame) -> DataFrame:

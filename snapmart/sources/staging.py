@@ -44,6 +44,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_grouped(df: DataFrame, label: str, by: str) -> DataFrame:
+    """Stage the frame in buckets of ``by``: grouping and windows by this column, alone or
+    with others, need no shuffle of what is read back."""
+    spark = df.sparkSession
+    name, buckets = f"{label}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, by).option("path", new_path(spark, label)).saveAsTable(name)
+    back = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files belong to the staging folder
+    return back
+
+
 def clear_staging(spark: SparkSession) -> None:
     """Delete everything this application staged."""
     delete_path(spark, staging_root(spark))

@@ -119,3 +119,36 @@ def test_keep_first_and_flags(spark):
     assert everything(ids.keep_first(df, ["k"], [F.col("v")])) == [("a", 1), ("b", 9), (None, 1)]
     flags = {(r.k, r.v): r.is_duplicated for r in ids.flag_duplicates(df, ["k"]).collect()}
     assert flags == {("a", 2): True, ("a", 1): True, ("b", 9): False, (None, 1): True, (None, 2): True}
+
+
+def test_scan_reads_the_staged_rows_twice_and_does_not_shuffle_them(spark, rows):
+    staged = ids.stage_in_order(rows, ["key", "period", "v"])
+    scanned = ids.scan_groups(staged, ["key"], "n", "total", {"so_far": F.col("v")})
+    scanned.collect()
+    plan = scanned._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 2
+    # The one exchange is that of the borders, below the broadcast.
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("BroadcastExchange") < plan.index("Exchange hashpartitioning")
+
+
+def test_running_sums_equal_plain_window(rows):
+    staged = ids.stage_in_order(rows, ["key", "period", "v"])
+    got = ids.drop_place(ids.scan_groups(staged, ["key"], "n", "total", {"so_far": F.col("v"), "ones": F.lit(1)}))
+    w = Window.partitionBy("key").orderBy("period", "v")
+    assert everything(got.groupBy("key").agg(F.max("so_far"))) == everything(rows.groupBy("key").agg(F.sum("v")))
+    assert got.where("ones != n").count() == 0
+    # Rows that tie get their sums in some order; the last of them has the sum of all.
+    ends = got.groupBy("key", "period", "v").agg(F.max("so_far"))
+    assert everything(ends) == everything(rows.select("key", "period", "v", F.sum("v").over(w)).distinct())
+
+
+def test_staged_columns_can_be_fewer(rows):
+    staged = ids.stage_in_order(rows, ["key", "period", "v"], keep=["key"])
+    assert staged.columns == ["key", "_pos", "_pid"]
+    assert ids.add_occurrence(staged, ["key"], "n", "total").agg(F.sum("n")).first()[0] > 0
+
+
+def test_scan_of_an_empty_table(rows):
+    staged = ids.stage_in_order(rows.limit(0), ["key"])
+    assert ids.add_occurrence(staged, ["key"], "n", "total").count() == 0

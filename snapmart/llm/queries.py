@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.llm import (
-    decontam, extraction, factorisation, langid, licenses, packing, quality, secrets, sharding, simhash, substrings, turnrepair,
+    decontam, extraction, factorisation, langid, licenses, packing, prefixtrie, quality, secrets, sharding, simhash, substrings, turnrepair,
 )
 from snapmart.llm.common import prepared, table
 from snapmart.sources.staging import new_path
@@ -153,3 +153,8 @@ def op11_quality_classifier(spark, d):
 @query("op12_conversation_repair")
 def op12_conversation_repair(spark, d):
     return turnrepair.repaired(turnrepair.damaged(table(spark, d, "conversations")))
+
+
+@query("op13_prefix_trie")
+def op13_prefix_trie(spark, d):
+    return prefixtrie.prefix_trie(table(spark, d, "conversations"))

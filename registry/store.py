@@ -21,7 +21,8 @@ from snapmart.sources.files import (
     discover_periods, read_table, scan_named_files, scan_periods, source_inventory, write_periods,
 )
 from snapmart.sources.manifest import choose_files, landing_manifest, not_landed, source_list, text_list
-from snapmart.sources.staging import child_names, new_path, switch
+from snapmart.sources.staging import child_names, move, new_path
+from snapmart.sources.versions import FACTOR, append, load_version, read_stored
 from snapmart.streaming import landing
 
 COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
@@ -130,7 +131,7 @@ def sync_replace(spark, d):
     edited = (F.col("l_shipdate") >= F.lit("1999-01-01")) & (F.col("l_quantity") > 40)
     store.load(LINES, rows.where(~edited), "lines.parquet", "v1")
     store.load(LINES, rows, "lines.parquet", "v2")
-    return spark.read.parquet(store.path("lines"))
+    return store.table("lines")
 
 
 @query("sync_history", """
@@ -170,7 +171,7 @@ def sync_upsert(spark, d):
 
     store.load(VERSIONS, versions("R"), "versions.parquet", "v1")
     store.load(VERSIONS, versions("A"), "versions.parquet", "v2")
-    return spark.read.parquet(store.path("versions"))
+    return store.table("versions")
 
 
 @query("sync_dimension", """
@@ -183,7 +184,7 @@ def sync_dimension(spark, d):
     new = supplier.where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("id"), name(" new"))
     store.load(spec, old, "names.parquet", "v1")
     store.load(spec, new, "names.parquet", "v2")
-    return spark.read.parquet(store.path("names"))
+    return store.table("names")
 
 
 @query("sync_upsert_moved", """
@@ -198,7 +199,7 @@ def sync_upsert_moved(spark, d):
     new = orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.date_add(day, 40).alias("seen_on"))
     store.load(spec, old, "moved.parquet", "v1")
     store.load(spec, new, "moved.parquet", "v2")
-    return spark.read.parquet(store.path("moved"))
+    return store.table("moved")
 
 
 @query("sync_failed_load", """
@@ -216,13 +217,13 @@ def sync_failed_load(spark, d):
     except Exception as e:
         if "broken cell" not in str(e):
             raise
-    if spark.read.parquet(store.path("names")).where("name LIKE '% new'").count():
+    if store.table("names").where("name LIKE '% new'").count():
         raise ValueError("a failed load left rows")
     store.load(spec, new, "names.parquet", "v2")
     ledger = store.file_ledger().agg(
         F.count_if(F.col("status") == sync.FAILURE).alias("failures"), F.count_if(F.col("status") == sync.SUCCESS).alias("successes")
     ).first()
-    rows = spark.read.parquet(store.path("names"))
+    rows = store.table("names")
     return rows.agg(F.count("*").alias("row_count"), F.count_if(F.col("name").endswith(" new")).alias("renamed")).select(
         F.lit("names").alias("table_name"), "row_count", "renamed", F.lit(ledger.failures).cast("bigint").alias("failures"), F.lit(ledger.successes).cast("bigint").alias("successes")
     )
@@ -243,8 +244,8 @@ def sync_all(spark, d):
     store.load_all(sources("v1"), dt.date(2000, 9, 15), 12, [names, LINES])
     if store.load_all(sources("v2"), dt.date(2000, 9, 15), 12, [names, LINES])["lines"]:
         raise ValueError("months were loaded again")
-    counts = sync.period_counts(spark.read.parquet(store.path("lines"))).select(F.lit("lines").alias("table_name"), "period", "row_count")
-    dims = spark.read.parquet(store.path("names")).agg(F.count("*").alias("row_count"))
+    counts = sync.period_counts(store.table("lines")).select(F.lit("lines").alias("table_name"), "period", "row_count")
+    dims = store.table("names").agg(F.count("*").alias("row_count"))
     return counts.unionByName(dims.select(F.lit("names").alias("table_name"), F.lit(None).cast("string").alias("period"), "row_count"))
 
 
@@ -268,7 +269,7 @@ def retention(spark, d):
     store = fresh_store(spark)
     store.load(LINES, lines(spark, d), "lines.parquet", "v1")
     sync.retain(spark, store.path("lines"), dt.date(2000, 9, 15), 12)
-    return spark.read.parquet(store.path("lines"))
+    return store.table("lines")
 
 
 @query("bootstrap_ledger", "SELECT strftime(l_shipdate, '%Y%m') AS period, count(*) AS row_count, 'SUCCESS' AS status FROM lineitem GROUP BY 1")
@@ -281,8 +282,74 @@ def bootstrap_ledger(spark, d):
     return store.period_ledger("lines").select("period", "row_count", "status")
 
 
+@query("table_versions", """
+WITH m AS (SELECT strftime(l_shipdate, '%Y%m') AS period, count(*) AS n, sum(l_quantity) AS q,
+  count(CASE WHEN l_quantity <= 40 THEN 1 END) AS old_n, sum(CASE WHEN l_quantity <= 40 THEN l_quantity END) AS old_q FROM lineitem GROUP BY 1)
+SELECT 'before' AS seen, period, old_n AS row_count, CAST(old_q AS DOUBLE) AS quantity FROM m WHERE old_n > 0
+UNION ALL SELECT 'after', period, n, CAST(q AS DOUBLE) FROM m""")
+def table_versions(spark, d):
+    """Two versions of one table: the one before a load, read after it, and the newest."""
+    store, rows = fresh_store(spark), lines(spark, d)
+    store.load(LINES, rows.where("l_quantity <= 40"), "lines.parquet", "v1")
+    first = load_version(spark, store.path("lines")).number
+    store.load(LINES, rows, "lines.parquet", "v2")
+    seen = {"before": store.table("lines", first), "after": store.table("lines")}
+    parts = [df.groupBy(F.lit(n).alias("seen"), "period").agg(F.count("*").alias("row_count"), F.sum("l_quantity").cast("double").alias("quantity")) for n, df in seen.items()]
+    return parts[0].unionByName(parts[1])
+
+
+KEYED = TableSpec("lines", REPLACE_PERIODS, ["l_orderkey", "l_linenumber"], period_date="l_shipdate", buckets=4)
+
+
+@query("sync_buckets", f"""
+SELECT {LIST}, strftime(l_shipdate, '%Y%m') AS period, 1::BIGINT AS rewritten
+FROM (SELECT * REPLACE (CASE WHEN l_orderkey = (SELECT min(l_orderkey) FROM lineitem) AND l_linenumber = 1 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM lineitem)""")
+def sync_buckets(spark, d):
+    """One line is edited: the table holds the edit, and one bucket of one month was written."""
+    store, rows = fresh_store(spark), lines(spark, d)
+    store.load(KEYED, rows, "lines.parquet", "v1")
+    before = set(load_version(spark, store.path("lines")).parts)
+    least = rows.agg(F.min("l_orderkey")).first()[0]
+    edited = (F.col("l_orderkey") == least) & (F.col("l_linenumber") == 1)
+    store.load(KEYED, rows.withColumn("l_quantity", F.when(edited, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))), "lines.parquet", "v2")
+    fresh = set(load_version(spark, store.path("lines")).parts) - before
+    return store.table("lines").withColumn("rewritten", F.lit(len(fresh)).cast("long"))
+
+
+@query("landed_parts", """
+SELECT strftime(o_orderdate, '%Y%m') AS period, count(*) AS row_count, CAST(sum(o_custkey) AS BIGINT) AS customers, true AS few FROM orders GROUP BY 1""")
+def landed_parts(spark, d):
+    """Orders landed in ten batches: small parts were merged, and every row is there."""
+    orders, out = table(spark, d, "orders").select("o_orderkey", "o_custkey", period_key("o_orderdate").alias("period")), new_path(spark, "landed")
+    for i in range(10):
+        append(orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(10)) == i), out, ["period"], i)
+    version = load_version(spark, out)
+    most = max((len(version.rows([p])) for p in version.periods()), default=0)
+    counts = read_stored(spark, out).groupBy("period").agg(F.count("*").alias("row_count"), F.sum("o_custkey").cast("long").alias("customers"))
+    return counts.withColumn("few", F.lit(most <= FACTOR))
+
+
 # ---- files ------------------------------------------------------------------------
 
+@query("drifting_files", """
+SELECT CASE WHEN o_orderkey % 4 = 3 THEN lpad(CAST(o_orderkey AS VARCHAR), 12, '0') ELSE CAST(o_orderkey AS VARCHAR) END AS order_key,
+  o_custkey, CASE WHEN o_orderkey % 4 = 1 THEN o_orderpriority END AS priority, CAST(o_orderkey % 4 AS VARCHAR) AS state, strftime(o_orderdate, '%Y%m') AS period
+FROM orders""")
+def drifting_files(spark, d):
+    """Files of states that write the same key as a number, a decimal fraction, an integer and a text; one has a column more."""
+    path, orders = new_path(spark, "drift"), table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    forms = {0: key.cast("double"), 1: key.cast("long"), 2: key.cast("int"), 3: F.lpad(key.cast("string"), 12, "0")}
+    for state, form in forms.items():
+        more = [F.col("o_orderpriority").alias("priority")] if state == 1 else []
+        rows = orders.where(key % 4 == state).select(form.alias("order_key"), "o_custkey", *more, period_key("o_orderdate").alias("period"))
+        parts = new_path(spark, "parts")
+        rows.hint("rebalance", "period").write.partitionBy("period").parquet(parts)
+        for n in child_names(spark, parts):
+            if "=" in n:
+                move(spark, f"{parts}/{n}", f"{path}/raw_or_{state}_{n.split('=')[1]}.parquet")
+    return scan_named_files(spark, path, "raw_or").select("order_key", "o_custkey", "priority", "state", "period")
+
 @query("month_scan", f"SELECT {LIST}, strftime(l_shipdate, '%Y%m') AS period FROM lineitem WHERE year(l_shipdate) = 1998")
 def month_scan(spark, d):
     """A period dataset is written; the months of one year are read back."""
@@ -301,7 +368,8 @@ def named_file_scan(spark, d):
     events.select("event_id", "user_id", "value", "event_type", "period").write.partitionBy("event_type", "period").parquet(parts)
     names = lambda p: [n.split("=", 1)[1] for n in child_names(spark, p) if "=" in n]
     found = [(t, p) for t in names(parts) for p in names(f"{parts}/event_type={t}")]
-    switch(spark, [(f"{parts}/event_type={t}/period={p}", f"{path}/raw_ev_{t}_{p}.parquet") for t, p in found])
+    for t, p in found:
+        move(spark, f"{parts}/event_type={t}/period={p}", f"{path}/raw_ev_{t}_{p}.parquet")
     rows = scan_named_files(spark, path, "raw_ev", sorted({p for _, p in found}))
     return rows.select("event_id", "user_id", "value", "state", "period")
 
@@ -313,25 +381,22 @@ def projected_read(spark, d):
 
 
 @query("source_inventory", """
-SELECT 'orders' AS name, count(*) AS row_count, true AS sized, 1::BIGINT AS files FROM orders
-UNION ALL SELECT 'supplier', count(*), true, 1 FROM supplier
-UNION ALL SELECT 'nation', count(*), true, 1 FROM nation""")
+SELECT 'orders' AS name, count(*) AS row_count, true AS sized, true AS own_tags FROM orders
+UNION ALL SELECT 'supplier', count(*), true, true FROM supplier
+UNION ALL SELECT 'nation', count(*), true, true FROM nation""")
 def inventory(spark, d):
-    """The files of stored tables, and the rows that each holds by its own name."""
-    path, names = new_path(spark, "inventory"), ["orders", "supplier", "nation"]
-    for n in names:
-        table(spark, d, n).coalesce(1).write.parquet(f"{path}/{n}")
-    files = source_inventory(spark, path)
-    rows = None
-    for n in names:
-        part = spark.read.parquet(f"{path}/{n}").groupBy(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name")).agg(
-            F.count("*").alias("row_count")
-        ).withColumn("stored", F.lit(n))
-        rows = part if rows is None else rows.unionByName(part)
-    joined = rows.join(files, "name")
-    return joined.groupBy(F.col("stored").alias("name")).agg(
-        F.sum("row_count").alias("row_count"), F.min(F.col("size") > 0).alias("sized"), F.count_distinct("tag").alias("files")
-    )
+    """The files of the given tables where they lie, and the rows that each holds by its own name."""
+    parts = []
+    for n in ("orders", "supplier", "nation"):
+        path = f"{d}/{n}.parquet"
+        files = source_inventory(spark, path)
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name")
+        rows = spark.read.parquet(path).groupBy(name).agg(F.count("*").alias("row_count"))
+        found = files.join(rows, "name", "left").agg(
+            F.sum("row_count").alias("row_count"), F.min(F.col("size") > 0).alias("sized"), (F.count_distinct("tag") == F.count("*")).alias("own_tags")
+        )
+        parts.append(found.select(F.lit(n).alias("name"), "row_count", "sized", "own_tags"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- landing ----------------------------------------------------------------------
@@ -402,7 +467,7 @@ def landing_stream(spark, d):
     out, checkpoint = new_path(spark, "landed"), new_path(spark, "checkpoint")
     for _ in range(2):
         landing.ingest_available(spark, path, events.schema, out, checkpoint, month("ts"), files_per_batch=2)
-    return spark.read.parquet(out)
+    return read_stored(spark, out)
 
 
 @query("stream_refresh", """
@@ -421,7 +486,7 @@ def stream_refresh(spark, d):
         )
 
     landing.refresh_changed_periods(stream, landed, target, build, checkpoint)
-    return spark.read.parquet(target)
+    return read_stored(spark, target)
 
 
 @query("stream_month_counts", """
@@ -431,10 +496,10 @@ def stream_month_counts(spark, d):
     path, events = new_path(spark, "arrivals"), table(spark, d, "events")
     shifted = events.withColumn("ts", F.col("ts").cast("timestamp") - F.make_ym_interval(F.lit(0), (F.col("user_id") % 12).cast("int")))
     for back in range(12):
-        shifted.where(F.col("user_id") % 12 == back).coalesce(1).write.mode("append").parquet(path)
+        shifted.where(F.col("user_id") % 12 == back).write.mode("append").parquet(path)
     out, checkpoint = new_path(spark, "counts"), new_path(spark, "checkpoint")
     landing.day_counts(landing.file_stream(spark, path, shifted.schema, 2), "ts", ["event_type"], out, checkpoint)
-    return landing.month_counts(spark.read.parquet(out), ["event_type"])
+    return landing.month_counts(read_stored(spark, out), ["event_type"])
 
 
 # ---- guards -----------------------------------------------------------------------
@@ -474,8 +539,8 @@ def guards(spark, d):
     numbered = sync.with_period(rows, LINES)
     held = {
         "block overflow": (refused(lambda: ids.block_ids(numbered, "period", ["l_orderkey"], "id", 1990, 2).write.format("noop").mode("overwrite").save(), "more than 1 rows"), rows),
-        "file loaded twice": (store.load(LINES, rows, "lines.parquet", "v1") == [], spark.read.parquet(store.path("lines"))),
-        "no ledger": (refused(lambda: other.load(LINES, rows, "lines.parquet", "v1"), "bootstrap"), spark.read.parquet(other.path("lines"))),
+        "file loaded twice": (store.load(LINES, rows, "lines.parquet", "v1") == [], store.table("lines")),
+        "no ledger": (refused(lambda: other.load(LINES, rows, "lines.parquet", "v1"), "bootstrap"), other.table("lines")),
         "repeated upsert key": (refused(lambda: store.load(spec, twice, "moved.parquet", "v1"), "duplicate row"), orders),
         "range backwards": (refused(lambda: day_range("l_shipdate", dt.date(1998, 1, 2), dt.date(1998, 1, 1)), "before it starts"), rows),
         "failing step stops no other": (isolated(), rows),

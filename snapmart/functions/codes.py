@@ -51,6 +51,13 @@ def normalise_code(c: Column | str) -> Column:
     return F.when(text.endswith(".0"), F.substring(text, F.lit(1), F.length(text) - 2)).otherwise(text)
 
 
+def number_text(c: Column) -> Column:
+    """A floating-point number in digits: ``12345678``, not ``1.2345678E7``."""
+    whole = (F.abs(c) < 1e15) & (c == F.floor(c))
+    digits = F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"0+$", "")
+    return F.when(whole, c.cast("bigint").cast("string")).otherwise(digits)
+
+
 def zero_fill(c: Column, width: int) -> Column:
     """Left-fill with zeros; longer text is kept whole (``lpad`` would cut it)."""
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from snapmart.functions.codes import blank_to_null, header_slug
+from snapmart.functions.codes import blank_to_null, header_slug, number_text
 
 
 def ensure_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -39,9 +39,7 @@ def raw_text(df: DataFrame, names: list[str], keep: list[str] = ()) -> DataFrame
             types[name.lower()], T.DecimalType
         ):
             return c.cast("string")
-        whole = (F.abs(c) < 1e15) & (c == F.floor(c))
-        digits = F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"0+$", "")
-        return F.when(whole, c.cast("bigint").cast("string")).otherwise(digits)
+        return number_text(c)
 
     return df.select(*[text(n).alias(n) for n in names], *keep)
 

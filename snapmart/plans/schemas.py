@@ -46,6 +46,10 @@ PERIOD_LEDGER = (
     "load_id string, table_name string, period string, content_hash string, "
     "row_count bigint, tag string, status string, loaded_at timestamp"
 )
+BUCKET_LEDGER = (
+    "load_id string, table_name string, period string, bucket int, "
+    "content_hash string, row_count bigint, loaded_at timestamp"
+)
 
 DDL = {
     "dates": DATES,
@@ -57,6 +61,7 @@ DDL = {
     "equipment": EQUIPMENT,
     "admissions": ADMISSIONS,
     "names": NAMES,
+    "bucket_ledger": BUCKET_LEDGER,
     "file_ledger": FILE_LEDGER,
     "period_ledger": PERIOD_LEDGER,
 }

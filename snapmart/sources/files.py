@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapmart.functions.dates import is_period
 from snapmart.operators.shape import enforce_schema, pick_present
-from snapmart.sources.staging import beside, child_names, delete_path, has_data, path_exists, switch
+from snapmart.sources.schema_classes import scan_files
+from snapmart.sources.staging import child_names
+from snapmart.sources.versions import append, load_version, read_parts, read_stored, replace_parts, table_exists
 
 PERIOD = "period"
 
@@ -21,15 +23,17 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A Parquet table; of ``columns``, those that exist."""
-    df = spark.read.parquet(path)
+    """A stored table, or any Parquet files; of ``columns``, those that exist."""
+    df = read_stored(spark, path)
     return df if columns is None else pick_present(df, columns)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table with a known schema, empty when nothing was written yet."""
-    if not path_exists(spark, path) or not has_data(spark, path):
+    """A stored table with a known schema, empty when nothing was written yet."""
+    if not table_exists(spark, path):
         return empty(spark, schema)
+    if load_version(spark, path):
+        return read_stored(spark, path).select(*schema.names)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -39,24 +43,29 @@ def scan_periods(
     periods: list[str] | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A ``period=YYYYMM`` dataset, of the given periods or whole.
+    """A table or dataset by ``period=YYYYMM``, of the given periods or whole.
 
-    Without a schema the files' schemas are merged, so a column that only some
-    states deliver is NULL for the others. Either way only the folders of the
-    periods asked for are listed and opened.
+    A stored table is read under its own schema. Of folders that others filled,
+    the schema is that of the contract if one is given, and else that of the files: a
+    column that only some states deliver is NULL for the others, and one whose type
+    differs between files is brought to a common one (``schema_classes``). Either way
+    only the folders of the periods asked for are listed and opened.
     """
-    merged = spark.read.option("mergeSchema", "true")
+    version = load_version(spark, root)
+    if version:
+        shape = _with_period(schema) if schema else version.schema
+        return read_parts(spark, root, version.rows(periods), shape)
     if periods is None:
-        return (spark.read.schema(schema) if schema else merged).parquet(root)
+        return spark.read.schema(schema).parquet(root) if schema else scan_files(spark, [root], root)
     present = set(child_names(spark, root))
     folders = [f"{root}/{PERIOD}={p}" for p in sorted(set(periods)) if f"{PERIOD}={p}" in present]
     if folders:
-        reader = spark.read.schema(schema) if schema else merged
-        return reader.option("basePath", root).parquet(*folders)
-    if schema is None:
-        return merged.parquet(root).where(F.lit(False))
-    named = schema if PERIOD in schema.names else T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())])
-    return empty(spark, named)
+        return spark.read.schema(schema).option("basePath", root).parquet(*folders) if schema else scan_files(spark, folders, root)
+    return empty(spark, _with_period(schema)) if schema else scan_files(spark, [root], root).where(F.lit(False))
+
+
+def _with_period(schema: T.StructType) -> T.StructType:
+    return schema if PERIOD in schema.names else T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())])
 
 
 def scan_named_files(
@@ -69,7 +78,8 @@ def scan_named_files(
     """Flat files ``<prefix>_<state>_<YYYYMM>.parquet`` of the given periods, with
     ``period`` and ``state`` taken from the name. No such file: empty.
 
-    The name list prunes, so months not asked for are never opened.
+    The name list prunes, so months not asked for are never opened. Without a schema, columns
+    may differ between the files, in their types too (``schema_classes``).
     """
     shape = rf"{re.escape(prefix)}_([^/]+)_([0-9]{{6}})\.parquet"
     names = [
@@ -80,37 +90,43 @@ def scan_named_files(
     if not names:
         base = schema or T.StructType()
         return empty(spark, T.StructType(base.fields + _name_fields()))
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
     path = F.col("_metadata.file_path")
-    return reader.parquet(*[f"{root}/{n}" for n in names]).withColumns(
-        {
-            PERIOD: F.regexp_extract(path, shape, 2),
-            "state": F.upper(F.regexp_extract(path, shape, 1)),
-        }
-    )
+    named = {PERIOD: F.regexp_extract(path, shape, 2), "state": F.upper(F.regexp_extract(path, shape, 1))}
+    files = [f"{root}/{n}" for n in names]
+    return spark.read.schema(schema).parquet(*files).withColumns(named) if schema else scan_files(spark, files, more=named)
 
 
 def discover_periods(spark: SparkSession, root: str) -> list[str]:
-    """The valid ``period=`` folders of a dataset, sorted; error when none."""
-    found = [n.split("=", 1)[1] for n in child_names(spark, root) if n.startswith(f"{PERIOD}=")]
+    """The valid periods of a table or dataset, sorted; error when none."""
+    found = stored_periods(spark, root)
     valid = [p for p in found if _valid_period(p)]
     if not valid:
         raise ValueError(f"no {PERIOD}=YYYYMM folder below {root}")
     return sorted(valid)
 
 
+def stored_periods(spark: SparkSession, root: str) -> list[str]:
+    """The periods of a table or dataset, from its newest version or its folders."""
+    version = load_version(spark, root)
+    if version:
+        return version.periods()
+    return sorted(n.split("=", 1)[1] for n in child_names(spark, root) if n.startswith(f"{PERIOD}="))
+
+
 def periods_in(df: DataFrame, period: str = PERIOD) -> DataFrame:
     """The valid periods that occur in a column."""
     return df.select(period).where(is_period(period)).distinct()
 
 
 def source_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """(name, size, modified, tag) per file below a folder, contents unread."""
+    """(name, size, modified, tag) per live file of a table, or per file below a folder, contents unread."""
+    version = load_version(spark, path)
+    paths = [f"{path}/{p.folder}" for p in version.rows()] if version else [path]
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
-        .load(path)
+        .load(paths)
         .select("path", "length", "modificationTime")
     )
     tag = F.sha2(
@@ -135,29 +151,14 @@ def write_periods(
 ) -> None:
     """Replace the periods present in the frame; an empty frame changes nothing.
 
-    The months are written beside the table, shown to ``check``, and then moved into
-    place (``staging.switch``): a write or check that fails leaves the table as it
-    was. Periods listed in ``cleared`` go even if the frame has no row for them.
-
-    The rebalance lets adaptive execution merge small periods into few files and
-    cut a large one into many tasks; a month never has to fit one task.
+    The months are written beside the live ones, shown to ``check``, and published as one
+    version (``versions``): a write or check that fails, or a driver that dies, leaves the table
+    as it was. Periods listed in ``cleared`` go even if the frame has no row for them.
     """
-    spark, new = df.sparkSession, beside(path)
-    try:
-        (
-            df.hint("rebalance", F.col(period))
-            .write.mode("error")
-            .option("compression", "snappy")
-            .partitionBy(period)
-            .parquet(new)
-        )
-        if check:
-            check(spark.read.schema(df.schema).parquet(new))
-        written = [n for n in child_names(spark, new) if n.startswith(f"{period}=")]
-        gone = [n for n in (f"{period}={p}" for p in cleared) if n not in written and path_exists(spark, f"{path}/{n}")]
-        switch(spark, [(f"{new}/{n}", f"{path}/{n}") for n in written] + [(None, f"{path}/{n}") for n in gone])
-    finally:
-        delete_path(spark, new)
+    named = df.withColumnRenamed(period, PERIOD)
+    data = named.select(*(c for c in named.columns if c != PERIOD), PERIOD)
+    gone = set(cleared)
+    replace_parts(data, path, [PERIOD], lambda old, new: old.period in gone or any(p.period == old.period for p in new), check)
 
 
 def write_table(
@@ -168,22 +169,16 @@ def write_table(
 ) -> None:
     """Replace a whole table, under a fixed schema when one is given.
 
-    Written beside the old one, shown to ``check``, then switched: a failure on the
+    Written beside the old one, shown to ``check``, then published: a failure on the
     way leaves the old table. The frame may read the table it replaces.
     """
     shaped = df if schema is None else enforce_schema(df, schema)
-    spark, new = df.sparkSession, beside(path)
-    try:
-        shaped.hint("rebalance").write.mode("error").option("compression", "snappy").parquet(new)
-        if check:
-            check(spark.read.schema(shaped.schema).parquet(new))
-        switch(spark, [(new, path)])
-    finally:
-        delete_path(spark, new)
+    replace_parts(shaped, path, [], lambda old, new: True, check)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Add rows to a table; files of many small additions are merged as they gather."""
+    append(df, path)
 
 
 def verify_rows(written: DataFrame, expected_rows: int, schema: T.StructType, name: str) -> None:

@@ -84,63 +84,38 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds at least one visible child."""
+    """True when the folder holds at least one visible child; for tables see ``versions.table_exists``."""
     return any(not n.startswith(("_", ".")) for n in child_names(spark, path))
 
 
-# ---- switching folders --------------------------------------------------------------
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files of a folder and their bytes, hidden ones left out."""
+    fs, p = _fs(spark, path)
+    found = [s for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    return len(found), sum(s.getLen() for s in found)
 
-def beside(path: str, kind: str = "new") -> str:
-    """A new folder next to ``path``, on the same filesystem. The dot hides it: Spark
-    lists names with an underscore if they hold an equals sign, as month folders do."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/.{kind}-{name}-{uuid.uuid4().hex}"
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
-def restore(spark: SparkSession, path: str) -> None:
-    """Undo a switch that its driver did not live to end: what was set aside and has no
-    successor goes back, the rest of it is removed. For a table and its months."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    for folder, wanted in ((parent, f".old-{name}-"), (path, ".old-")):
-        for n in child_names(spark, folder):
-            if n.startswith(wanted):
-                live = f"{folder}/{n.removeprefix('.old-').rpartition('-')[0]}"
-                if path_exists(spark, live):
-                    delete_path(spark, f"{folder}/{n}")
-                else:
-                    _move(spark, f"{folder}/{n}", live)
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file; one that exists is refused."""
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
-def switch(spark: SparkSession, pairs: list[tuple[str | None, str]]) -> None:
-    """Move each new folder to its live place; None removes the live one.
 
-    What was live is set aside first and removed when all are in place. A move that
-    fails puts everything back, so readers see the old folders or the new ones, each
-    whole. Between its two moves one folder is absent for a moment; if the driver dies
-    just then, ``restore`` brings it back.
-    """
-    done: list[tuple[str | None, str, str | None]] = []
-    try:
-        for new, live in pairs:
-            old = beside(live, "old") if path_exists(spark, live) else None
-            if old:
-                _move(spark, live, old)
-            done.append((new, live, old))
-            if new:
-                _move(spark, new, live)
-    except Exception:
-        for new, live, old in reversed(done):
-            if new and not path_exists(spark, new) and path_exists(spark, live):
-                _move(spark, live, new)
-            if old:
-                _move(spark, old, live)
-        raise
-    for _, _, old in done:
-        if old:
-            delete_path(spark, old)
-
-
-def _move(spark: SparkSession, source: str, target: str) -> None:
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the folder it goes to is made."""
     fs, p = _fs(spark, source)
     to = spark._jvm.org.apache.hadoop.fs.Path(target)
     if not fs.exists(to.getParent()):

@@ -1,7 +1,9 @@
 """Structured Streaming forms of landing and refreshing.
 
 The checkpoint of a file stream remembers which files were taken, so each file is
-landed exactly once without listing what is already there.
+landed exactly once without listing what is already there. A batch is published as one version
+of its table, under its number; repeated, it takes the place of its own rows. Small
+parts are merged by size as they gather (``versions.compact``).
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from snapmart.plans.sync import fingerprint
 from snapmart.sources.files import PERIOD, scan_periods, write_periods
-from snapmart.sources.staging import beside, child_names, discard, has_data, restore, stage, switch
+from snapmart.sources.staging import discard, stage
+from snapmart.sources.versions import append, load_version, read_parts, table_exists
 
 
 def file_stream(
@@ -36,13 +39,14 @@ def ingest_available(
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Land every file not landed yet, then stop. Files land once, also after a
-    restart. With ``period`` the landed table is stored by month."""
+    restart. With ``period`` the landed table is stored by month. Read it with ``read_stored``."""
     rows = file_stream(spark, path, schema, files_per_batch)
-    writer = rows if period is None else rows.withColumn(PERIOD, period)
-    sink = writer.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if period is not None:
-        sink = sink.partitionBy(PERIOD)
-    query = sink.format("parquet").start(out)
+    stored = rows if period is None else rows.withColumn(PERIOD, period)
+    return _each_batch(stored, lambda batch, number: append(batch, out, [] if period is None else [PERIOD], number), checkpoint)
+
+
+def _each_batch(stream: DataFrame, land: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    query = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -54,56 +58,30 @@ def refresh_changed_periods(
     build: Callable[[DataFrame], DataFrame],
     checkpoint: str,
     note: Callable[[DataFrame, int], None] | None = None,
-    parts: int = 32,
 ) -> StreamingQuery:
     """Land late rows and rebuild only the months they touch.
 
-    The landed table has a folder for each month and in it one for each batch, so a
-    repeated batch overwrites itself instead of landing twice, and a batch opens the
-    months it touches only. A month of more than ``parts`` batches is merged into one.
-    The touched months are then rebuilt from everything landed for them and replaced
-    in the target. ``note`` receives their fingerprints and the batch number.
+    A batch is one version of the landed table, and opens the months it touches only. These
+    are then rebuilt from everything landed for them and replaced
+    in the target, as one version of it. ``note`` receives their fingerprints and the batch number.
     """
     spark = stream.sparkSession
 
     def batch(rows: DataFrame, number: int) -> None:
-        restore(spark, target)
-        stored = T.StructType([*rows.drop("batch").schema.fields, T.StructField("batch", T.StringType())])
-        arrived = stage(rows.drop("batch").withColumn("batch", F.lit(str(number))), "arrived")
-        touched = sorted(r[0] for r in arrived.select(PERIOD).distinct().collect())
-        if touched:
-            writer = arrived.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(PERIOD, "batch").parquet(landed)
-        discard(arrived)
+        before = load_version(spark, landed)
+        repeated = {p.period for p in before.rows() if p.batch == number} if before else set()
+        append(rows, landed, [PERIOD], number)
+        version = load_version(spark, landed)
+        arrived = {p.period for p in version.rows() if p.batch == number} if version else set()
+        touched = sorted(arrived | repeated)
         if not touched:
             return
-        for p in touched:
-            _merge_batches(spark, f"{landed}/{PERIOD}={p}", parts)
-        rebuilt = build(scan_periods(spark, landed, touched, stored).drop("batch"))
-        write_periods(rebuilt, target)
+        rebuilt = build(read_parts(spark, landed, version.rows(touched), version.schema))
+        write_periods(rebuilt, target, cleared=touched)
         if note:
-            note(fingerprint(scan_periods(spark, target, touched, rebuilt.schema)), number)
-
-    query = (
-        stream.writeStream.foreachBatch(batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
-
+            note(fingerprint(scan_periods(spark, target, touched)), number)
 
-def _merge_batches(spark: SparkSession, month: str, parts: int) -> None:
-    """Merge the older batches of a month into the newest of them; the last batch stays apart, as it may be repeated."""
-    names = [n for n in child_names(spark, month) if n.startswith("batch=")]
-    if len(names) <= parts:
-        return
-    *older, _ = sorted(names, key=lambda n: int(n.split("=")[1]))
-    new = beside(month)
-    rows = spark.read.option("mergeSchema", "true").parquet(*[f"{month}/{n}" for n in older])
-    rows.hint("rebalance").write.parquet(new)
-    switch(spark, [(new, f"{month}/{older[-1]}")] + [(None, f"{month}/{n}") for n in older[:-1]])
+    return _each_batch(stream, batch, checkpoint)
 
 
 def day_counts(stream: DataFrame, time: str, keys: list[str], out: str, checkpoint: str) -> StreamingQuery:
@@ -113,7 +91,7 @@ def day_counts(stream: DataFrame, time: str, keys: list[str], out: str, checkpoi
     table holds, per day and keys, the sum of the batches before and the counts of
     the last batch, told apart by ``batch``; a repeated batch takes the place of its
     own counts. Only the months a batch touches are read and written. Rows without a
-    time are kept under the day NULL. Read the table with ``day_table``.
+    time are kept under the day NULL. Read the table with ``read_stored`` and ``day_table``.
     """
     spark = stream.sparkSession
 
@@ -125,22 +103,14 @@ def day_counts(stream: DataFrame, time: str, keys: list[str], out: str, checkpoi
         touched = sorted(r[0] for r in counts.select(PERIOD).distinct().collect())
         if touched:
             merged = counts
-            restore(spark, out)
-            if has_data(spark, out):
-                before = scan_periods(spark, out, touched, counts.schema).where(F.col("batch") < number)
+            if table_exists(spark, out):
+                before = scan_periods(spark, out, touched).where(F.col("batch") < number)
                 before = before.groupBy("day", *keys, PERIOD).agg(F.sum("n").alias("n"), F.max("batch").alias("batch"))
                 merged = counts.unionByName(before)
             write_periods(merged, out)
         discard(counts)
 
-    query = (
-        stream.writeStream.foreachBatch(publish)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return _each_batch(stream, publish, checkpoint)
 
 
 def day_table(table: DataFrame, keys: list[str]) -> DataFrame:

@@ -12,6 +12,8 @@ from snapmart.plans import gold, pipeline, silver
 from snapmart.plans.schemas import schema
 from snapmart.plans.star import open_star
 from snapmart.plans import queries as q
+from snapmart.sources import versions
+from snapmart.sources.versions import read_stored
 from snapmart.streaming import landing
 
 
@@ -75,11 +77,11 @@ def test_pipeline_over_folders(spark, tmp_path):
     assert star.beds.count() == 2 * n
     assert q.beds_summary(star, "2025-01", "2025-02").first().existing == n
     assert q.licence_coverage(star, "2025-01", "2025-02").first().without_licence == 0
-    assert spark.read.parquet(f"{out}/dates").columns == schema("dates").names
+    assert read_stored(spark, f"{out}/dates").columns == schema("dates").names
     assert star.beds.select("bed_id").distinct().count() == 2 * n
     # One month again changes only that month.
     pipeline.build_silver(spark, str(tmp_path / "raw"), mid, silver.Lookups(), names, prefixes, ["202502"])
-    assert spark.read.parquet(f"{mid}/beds").count() == 2 * n
+    assert read_stored(spark, f"{mid}/beds").count() == 2 * n
 
 
 def test_failures_are_isolated():
@@ -109,16 +111,16 @@ def test_dimensions_stay_when_a_source_fails(spark, tmp_path):
     prefixes = spark.createDataFrame([("11", "RO", "Norte"), ("11", "RO", "Norte")], "code string, state string, region string")
     build = lambda **more: pipeline.build_silver(spark, str(tmp_path / "raw"), str(tmp_path / "silver"), silver.Lookups(), lookup_from(spark, {"110001": "Alta"}), prefixes, **more)
     build()
-    assert spark.read.parquet(str(tmp_path / "silver/places")).count() == 1
+    assert read_stored(spark, str(tmp_path / "silver/places")).count() == 1
     (tmp_path / "raw/raw_cnes_lt/period=202502").mkdir()
     (tmp_path / "raw/raw_cnes_lt/period=202502/part-0.parquet").write_text("junk")
     build(periods=["202501"])  # the broken month is not opened
     with pytest.raises(pipeline.LayerError, match="(?s)beds: .*places: not run: beds failed") as e:
         build(periods=["202501", "202502"])
     assert {"beds", "dates", "places", "quality"} == set(e.value.errors)
-    assert spark.read.parquet(str(tmp_path / "silver/places")).count() == 1
+    assert read_stored(spark, str(tmp_path / "silver/places")).count() == 1
     build(periods=["202501"], dates=(dt.date(1910, 1, 1), dt.date(2024, 12, 31)))
-    report = {(r.source, r.check, r.column): r.row_count for r in spark.read.parquet(str(tmp_path / "silver/quality")).collect()}
+    report = {(r.source, r.check, r.column): r.row_count for r in read_stored(spark, str(tmp_path / "silver/quality")).collect()}
     assert report["beds", "implausible date", "period_date"] == 1
 
 
@@ -150,7 +152,7 @@ def test_landing_run(spark, tmp_path):
         pipeline.land_delivered(spark, str(delivered), root, dt.date(2025, 9, 15), 2, ["AC", "RO", "SP"])
     landed = pipeline.read_raw(spark, root, "beds")
     assert sorted((r.period, r.state) for r in landed.collect()) == [("202507", "SP"), ("202508", "RO")]
-    assert pipeline.land_delivered(spark, str(delivered), root, dt.date(2025, 9, 15), 2, ["RO", "SP"]) == []
+    assert pipeline.land_delivered(spark, str(delivered), root, dt.date(2025, 9, 15), 2, ["RO", "SP"]) == ([], ["LTAC_202508.parquet"])
 
 
 def test_landing_run_delivers_all_months(spark, monkeypatch):
@@ -186,10 +188,10 @@ def test_files_land_once(spark, tmp_path):
     period = F.date_format("ts", "yyyyMM")
     for expected in (1, 1):
         landing.ingest_available(spark, src, schema_, out, check, period)
-        assert spark.read.parquet(out).count() == expected
+        assert read_stored(spark, out).count() == expected
     arrivals(spark, src, (dt.datetime(2025, 2, 5), "b"))
     landing.ingest_available(spark, src, schema_, out, check, period)
-    assert spark.read.parquet(out).count() == 2
+    assert read_stored(spark, out).count() == 2
 
 
 def test_late_file_refreshes_its_month(spark, tmp_path):
@@ -210,8 +212,8 @@ def test_late_file_refreshes_its_month(spark, tmp_path):
     arrivals(spark, src, (dt.datetime(2025, 1, 6), "a"))
     run()
     assert noted == [["202501", "202502"], ["202501"]]
-    assert sorted(tuple(r) for r in spark.read.parquet(out).select("period", "kind", "n").collect()) == [("202501", "a", 2), ("202502", "a", 1)]
-    months = landing.month_counts(spark.read.parquet(days), ["kind"])
+    assert sorted(tuple(r) for r in read_stored(spark, out).select("period", "kind", "n").collect()) == [("202501", "a", 2), ("202502", "a", 1)]
+    months = landing.month_counts(read_stored(spark, days), ["kind"])
     assert sorted(tuple(r) for r in months.collect()) == [("2025-01", "a", 2), ("2025-02", "a", 1)]
 
 
@@ -222,21 +224,21 @@ def test_backfill_loses_no_row(spark, tmp_path):
         arrivals(spark, src, *[(dt.datetime(2025, m, 1 + d), "a") for d in range(10)], (None, "a"))
     schema_ = spark.read.parquet(src).schema
     landing.day_counts(landing.file_stream(spark, src, schema_, 1), "ts", ["kind"], out, check)
-    days = landing.day_table(spark.read.parquet(out), ["kind"])
+    days = landing.day_table(read_stored(spark, out), ["kind"])
     assert days.where("day is not null").agg(F.sum("n"), F.count("*")).first() == (120, 120)
     assert days.where("day is null").first().n == 12
     (tmp_path / "check/commits/.11.crc").unlink()
     (tmp_path / "check/commits/11").unlink()  # as if the driver died before it noted the last batch
     landing.day_counts(landing.file_stream(spark, src, schema_, 1), "ts", ["kind"], out, check)
-    assert landing.day_table(spark.read.parquet(out), ["kind"]).agg(F.sum("n")).first()[0] == 132
+    assert landing.day_table(read_stored(spark, out), ["kind"]).agg(F.sum("n")).first()[0] == 132
 
 
-def test_batches_of_a_month_are_merged(spark, tmp_path):
+def test_batches_of_a_month_are_merged(spark, tmp_path, monkeypatch):
     src, landed, out, check = (str(tmp_path / n) for n in ("in", "landed", "out", "check"))
-    for d in range(1, 7):
+    for d in range(1, 13):
         arrivals(spark, src, (dt.datetime(2025, 1, d), "a"))
     schema_ = spark.read.parquet(src).schema
     stream = landing.file_stream(spark, src, schema_, 1).withColumn("period", F.date_format("ts", "yyyyMM"))
-    landing.refresh_changed_periods(stream, landed, out, lambda r: r.groupBy("period").agg(F.count("*").alias("n")), check, parts=3)
-    assert spark.read.parquet(out).first().n == 6
-    assert len(list((tmp_path / "landed/period=202501").glob("batch=*"))) <= 3
+    landing.refresh_changed_periods(stream, landed, out, lambda r: r.groupBy("period").agg(F.count("*").alias("n")), check)
+    assert read_stored(spark, out).first().n == 12
+    assert len(versions.load_version(spark, landed).rows()) <= versions.FACTOR

@@ -172,7 +172,7 @@ def test_period_files(spark, tmp_path):
     assert files.read_or_empty(spark, str(tmp_path / "none"), df.schema).count() == 0
     assert files.read_table(spark, path, ["v", "w"]).columns == ["v"]
     with pytest.raises(ValueError, match="2 rows written"):
-        files.verify_rows(spark.read.parquet(path), 3, T.StructType.fromDDL("v int"), "t")
+        files.verify_rows(files.read_table(spark, path), 3, T.StructType.fromDDL("v int"), "t")
     assert files.source_inventory(spark, path).count() == 2
 
 

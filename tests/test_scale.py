@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snapmart.operators import ids
 from snapmart.sources import files
+from snapmart.sources.versions import load_version, read_stored
 from snapmart.streaming import landing
 
 SF = "/root/testdata/sf0.001"
@@ -67,9 +68,9 @@ def test_hot_month_is_written_by_several_tasks(spark, conf, tmp_path):
         F.xxhash64("id").alias("v"), F.when(n % 3 > 0, "202501").otherwise("202502").alias("period")
     )
     files.write_periods(rows, str(tmp_path / "t"))
-    parts = [f for f in os.listdir(tmp_path / "t" / "period=202501") if f.startswith("part-")]
-    assert len(parts) > 1
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 200000
+    (hot,) = load_version(spark, str(tmp_path / "t")).rows(["202501"])
+    assert hot.files > 1
+    assert read_stored(spark, str(tmp_path / "t")).count() == 200000
 
 
 def test_source_stored_by_month_is_pruned_on_reload(spark, tmp_path):
@@ -77,7 +78,7 @@ def test_source_stored_by_month_is_pruned_on_reload(spark, tmp_path):
 
     files.write_periods(spark.createDataFrame([(1, "202501"), (2, "202502")], "v int, period string"), str(tmp_path / "s"))
     spec = TableSpec("t", REPLACE_PERIODS, period_date="day")
-    rows = with_period(spark.read.parquet(str(tmp_path / "s")), spec).where(F.col("period").isin(["202502"]))
+    rows = with_period(read_stored(spark, str(tmp_path / "s")), spec).where(F.col("period").isin(["202502"]))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "202502" in plan.split("PartitionFilters: [")[1].split("]")[0]
 

@@ -1,11 +1,11 @@
 import datetime as dt
 import itertools
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from snapmart.plans import sync
+from snapmart.sources.versions import KEYS, load_version
 from snapmart.plans.sync import MERGE_PERIODS, MERGE_TABLE, REPLACE_PERIODS, Store, TableSpec
 
 FACT = TableSpec("fact", REPLACE_PERIODS, period_date="day", retained=True)
@@ -24,7 +24,7 @@ def store(spark, tmp_path):
 
 
 def content(store, table):
-    return sorted(tuple(r) for r in store.spark.read.parquet(store.path(table)).drop("period").collect())
+    return sorted(tuple(r) for r in store.table(table).drop("period").collect())
 
 
 def test_fingerprint(spark):
@@ -150,40 +150,6 @@ def test_failed_write_leaves_the_old_rows(spark, store):
     assert content(store, "dim")[1] == (1, "new") and len(content(store, "dim")) == 100
 
 
-def test_months_move_together_or_not_at_all(spark, store, monkeypatch):
-    store.load(FACT, days(spark, ("2025-01-05", 1), ("2025-02-05", 2)), "f", "v1")
-    from snapmart.sources import staging
-
-    real, calls = staging._move, []
-
-    def failing(sp, source, target):
-        calls.append(target)
-        if len(calls) == 4:
-            raise OSError("disk")
-        real(sp, source, target)
-
-    monkeypatch.setattr(staging, "_move", failing)
-    with pytest.raises(OSError):
-        store.load(FACT, days(spark, ("2025-01-05", 8), ("2025-02-05", 9)), "f", "v2")
-    monkeypatch.undo()
-    assert [r[1] for r in content(store, "fact")] == [1, 2]
-    assert [p.name for p in Path(store.path("fact")).iterdir() if p.name.startswith(".old")] == []
-    assert [p.name for p in Path(store.root).iterdir() if p.name.startswith(".")] == []
-
-
-def test_a_switch_cut_short_is_undone(spark, store):
-    store.load(FACT, days(spark, ("2025-01-05", 1), ("2025-02-05", 2)), "f", "v1")
-    store.load(DIM, spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), "d", "v1")
-    fact, root = Path(store.path("fact")), Path(store.root)
-    (fact / "period=202501").rename(fact / ".old-period=202501-0f")  # the driver died here
-    (root / "dim").rename(root / ".old-dim-0f")
-    store.load(DIM, spark.createDataFrame([(2, "c")], "id int, v string"), "d", "v2")
-    assert content(store, "dim") == [(1, "a"), (2, "c")]
-    assert [r[1] for r in content(store, "fact")] == [2]  # hidden, not read as a month
-    assert store.load(FACT, days(spark, ("2025-01-05", 1), ("2025-02-05", 2)), "f", "v2") == []
-    assert [r[1] for r in content(store, "fact")] == [1, 2]
-
-
 def test_counts_are_checked_before_the_switch(spark, store):
     store.load(FACT, days(spark, ("2025-01-05", 1)), "f", "v1")
 
@@ -201,7 +167,7 @@ def test_moved_key_is_kept_once(spark, store):
     store.load(spec, rows((1, "2025-01-05"), (2, "2025-01-06"), (3, "2025-03-01")), "m", "v1")
     assert store.load(spec, rows((1, "2025-02-05"), (3, "2025-02-06")), "m", "v2") == [("202502", "new")]
     assert [r[:2] for r in content(store, "moved")] == [(1, dt.date(2025, 2, 5)), (2, dt.date(2025, 1, 6)), (3, dt.date(2025, 2, 6))]
-    assert not (Path(store.path("moved")) / "period=202503").exists()
+    assert load_version(spark, store.path("moved")).periods() == ["202501", "202502"]
 
 
 def test_months_are_checked(spark, store):
@@ -225,14 +191,13 @@ def test_upserted_month_settles(spark, store):
 
 
 def test_only_the_months_asked_for_are_opened(spark, store, tmp_path):
-    from snapmart.sources.files import scan_periods, write_periods
+    from snapmart.sources.files import scan_periods
 
-    path = str(tmp_path / "t")
-    write_periods(sync.with_period(days(spark, ("2025-01-05", 1)), FACT), path)
+    days(spark, ("2025-01-05", 1)).withColumn("period", F.lit("202501")).write.partitionBy("period").parquet(str(tmp_path / "t"))
     (tmp_path / "t/period=202502").mkdir()
     (tmp_path / "t/period=202502/part-0.parquet").write_text("junk")
-    assert scan_periods(spark, path, ["202501"]).first().v == 1
-    assert scan_periods(spark, path, ["202501"], days(spark, ("2025-01-05", 1)).schema).first().v == 1
+    assert scan_periods(spark, str(tmp_path / "t"), ["202501"]).first().v == 1
+    assert scan_periods(spark, str(tmp_path / "t"), ["202501"], days(spark, ("2025-01-05", 1)).schema).first().v == 1
 
 
 def test_staged_tables_are_removed(spark, store):
@@ -242,3 +207,93 @@ def test_staged_tables_are_removed(spark, store):
     store.load(FACT, days(spark, ("2025-01-05", 1)), "f", "v1")
     store.load(DIM, spark.createDataFrame([(1, "a")], "id int, v string"), "d", "v1")
     assert set(staging.child_names(spark, staging.staging_root(spark))) == before
+
+
+# ---- key directory ------------------------------------------------------------------
+
+MOVED = TableSpec("moved", MERGE_PERIODS, ["id"], period_date="day")
+
+
+def moved(spark, *rows):
+    return spark.createDataFrame([(i, dt.date.fromisoformat(d), v) for i, d, v in rows], "id int, day date, v int")
+
+
+def test_upsert_opens_the_buckets_of_its_keys(spark, store, monkeypatch):
+    store.load(MOVED, moved(spark, *((i, f"2025-{1 + i % 6:02d}-05", 0) for i in range(400))), "m", "v1")
+    assert len({p.bucket for p in load_version(spark, store.path("moved")).parts if p.kind == KEYS}) == sync.KEY_BUCKETS
+    opened, real = [], sync.read_parts
+    monkeypatch.setattr(sync, "read_parts", lambda sp, path, parts, schema: opened.extend(parts) or real(sp, path, parts, schema))
+    store.load(MOVED, moved(spark, (7, "2025-06-05", 1)), "m", "v2")
+    assert len({p.bucket for p in opened if p.kind == KEYS}) == 1
+    assert {p.period for p in opened if p.kind != KEYS} == {"202502", "202506"}  # the month it goes to and the one it leaves
+    got = {r.id: (r.day.month, r.v) for r in store.table("moved").collect()}
+    assert got == {i: (1 + i % 6, 0) for i in range(400)} | {7: (6, 1)}
+
+
+def test_directory_follows_many_moves(spark, store):
+    import random
+
+    rng, want = random.Random(2), {}
+    for n in range(12):
+        batch = {rng.randrange(30): (rng.randint(1, 12), n) for _ in range(6)}
+        store.load(MOVED, moved(spark, *((i, f"2025-{m:02d}-05", v) for i, (m, v) in batch.items())), "m", f"v{n}")
+        want |= batch
+        assert {r.id: (r.day.month, r.v) for r in store.table("moved").collect()} == want
+    parts = [p for p in load_version(spark, store.path("moved")).parts if p.kind == KEYS]
+    assert max(sum(q.bucket == p.bucket for q in parts) for p in parts) <= 8
+
+
+def test_rows_from_elsewhere_end_the_directory(spark, store):
+    store.load(MOVED, moved(spark, (1, "2025-01-05", 0), (2, "2025-01-06", 0)), "m", "v1")
+    sync.replace_periods(sync.with_period(moved(spark, (5, "2025-03-05", 0)), MOVED), store.path("moved"), ["202503"])
+    assert not [p for p in load_version(spark, store.path("moved")).parts if p.kind == KEYS]
+    store.load(MOVED, moved(spark, (5, "2025-04-05", 1)), "m", "v2")
+    assert {r.id: r.day.month for r in store.table("moved").collect()} == {1: 1, 2: 1, 5: 4}
+
+
+# ---- buckets ------------------------------------------------------------------------
+
+BUCKETED = TableSpec("b", REPLACE_PERIODS, ["id"], period_date="day", buckets=8)
+
+
+def test_one_edited_row_rewrites_one_bucket(spark, store):
+    rows = moved(spark, *((i, f"2025-0{1 + i % 3}-05", i) for i in range(300)))
+    assert [r[1] for r in store.load(BUCKETED, rows, "b", "v1")] == ["new"] * 3
+    before = load_version(spark, store.path("b"))
+    assert len(before.parts) == 24
+    edited = rows.withColumn("v", F.when(F.col("id") == 7, -1).otherwise(F.col("v")))
+    assert store.load(BUCKETED, edited, "b", "v2") == [("202502", "content changed")]
+    after = load_version(spark, store.path("b"))
+    assert len(set(after.parts) - set(before.parts)) == 1 and len(set(before.parts) - set(after.parts)) == 1
+    assert {r.id: r.v for r in store.table("b").collect()} == {i: -1 if i == 7 else i for i in range(300)}
+    assert store.load(BUCKETED, edited.repartition(5), "b", "v3") == []
+    # A bucket whose only change is that rows went, and one that came to be empty.
+    few = edited.where((F.col("id") % 3 != 0) | (F.col("id") < 6))
+    store.load(BUCKETED, few, "b", "v4")
+    assert sorted(r.id for r in store.table("b").collect()) == [i for i in range(300) if i % 3 or i < 6]
+
+
+def test_lost_bucket_is_repaired_and_plain_months_are_taken_over(spark, store):
+    rows = moved(spark, *((i, "2025-01-05", i) for i in range(100)))
+    plain = TableSpec("b", REPLACE_PERIODS, period_date="day")
+    store.load(plain, rows, "b", "v1")
+    store.load(BUCKETED, rows.withColumn("v", F.col("v") + 1), "b", "v2")
+    assert {p.bucket for p in load_version(spark, store.path("b")).parts} == set(range(8))
+    sync.drop_parts(spark, store.path("b"), lambda p: p.bucket == 3)
+    assert store.load(BUCKETED, rows.withColumn("v", F.col("v") + 1), "b", "v3") == [("202501", "target count differs")]
+    assert sorted(r.v for r in store.table("b").collect()) == list(range(1, 101))
+
+
+def test_source_is_read_once_and_once_more_for_the_changed_months(spark, store):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    rows = days(spark, *((f"2025-0{m}-05", m) for m in range(1, 5) for _ in range(10))).mapInPandas(count, "day date, v int")
+    store.load(FACT, rows, "f", "v1")
+    assert seen.value <= 80
+    seen.value = 0
+    assert store.load(FACT, rows, "f", "v2") == [] and seen.value == 40

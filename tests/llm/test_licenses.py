@@ -104,3 +104,13 @@ def test_alternatives_match_without_keywords(spark):
     texts = sorted({t for s in signatures() for t in alternatives(s.pattern)})
     for r in licenses.licenses(spark.createDataFrame([(t,) for t in texts], "text string")).collect():
         assert [tuple(x) for x in r.found] == brute_found(r.text), r.text
+
+
+def test_very_many_matches_in_one_text(spark):
+    import time
+
+    began = time.time()
+    rows = spark.createDataFrame([("mit license, apache license version 2.0; cc by " * 20_000,)], "text string")
+    (r,) = licenses.licenses(rows).collect()
+    assert len(r.base) == 20_000 and len(r.found) >= 40_000
+    assert time.time() - began < 60

@@ -52,7 +52,7 @@ def tokens_of(tag: str, attributes: str) -> tuple[str, ...]:
     if not attributes:
         return (tag,)
     words = [w for m in _ATTRIBUTE.finditer(attributes) for w in _PART.findall((m[2] or m[3] or m[4] or "").lower())]
-    return (tag, *(f".{w}" for w in words[:16]))
+    return (tag, *(f".{w}" for w in words))
 
 
 def parse(source: str) -> list[Block]:

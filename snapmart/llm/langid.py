@@ -7,9 +7,9 @@ two sets. N-grams are hashed into ``BUCKETS``. A few landmark texts stand for al
 regression a language separates it from the rest. Texts are scored in batches: one
 product with the landmarks' n-grams, one with the regressions' weights.
 
-The model is fitted on a bounded sample (``SAMPLE`` texts in all, ``PER_LANGUAGE`` of
-each language, of a longer one ``LONGEST`` characters from its first letter), drawn by a
-hash of the id; every text is scored whole.
+The model is fitted on a bounded sample (``SAMPLE`` texts in all, divided over all languages,
+``PER_LANGUAGE`` of each at most and one at least, of a longer one ``LONGEST`` characters from its
+first letter), drawn by a hash of the id; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from snapmart.llm.common import batches, fresh_names
 
 BUCKETS, ORDERS = 1 << 14, 3
 LANDMARKS, RIDGE = 64, 0.05
-#: Bounds of the training sample: texts, texts a language, characters of one, and languages.
-SAMPLE, PER_LANGUAGE, LONGEST, LANGUAGES = 3000, 300, 20_000, 200
+#: Bounds of the training sample: texts (and so languages), texts a language, and characters of one.
+SAMPLE, PER_LANGUAGE, LONGEST = 3000, 300, 20_000
 #: Rows of one matrix product.
 ROWS = 256
 UNKNOWN = "und"
@@ -95,6 +95,8 @@ def fit(texts: list[str], languages: list[str], seed: int = 0) -> Model:
     for name in names:
         own = [i for i, lang in enumerate(languages) if lang == name]
         chosen += rng.permutation(own)[: max(1, LANDMARKS // len(names))].tolist()
+    if len(chosen) > LANDMARKS:  # more languages than landmarks: some stand for the others
+        chosen = sorted(rng.permutation(chosen)[:LANDMARKS].tolist())
     landmarks = presence([texts[i] for i in chosen])
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     whiten = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
@@ -127,14 +129,15 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Fit on labelled rows that have an id and are not held out.
 
-    At most twice ``SAMPLE`` rows of the ``LANGUAGES`` most frequent languages come to the
-    driver: a language's rows are drawn by a hash of the id, at the rate that gives its share.
+    At most twice ``SAMPLE`` rows come to the driver: a language's rows are drawn by a hash of the id, at
+    the rate that gives its share. Rows with one id and language count once. Of more than ``SAMPLE``
+    languages, the most frequent ones are learned.
     """
     usable = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = usable.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & ~held_out(F.col("doc_id")))
     piece = F.regexp_extract("text", rf"\p{{L}}[\s\S]{{0,{LONGEST - 1}}}", 0)
     usable = usable.withColumn("text", F.when(F.char_length("text") <= LONGEST, F.col("text")).otherwise(piece)).where(F.char_length("text") > 0)
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE).collect()
     if not counts:
         return fit([], [])
     share = min(PER_LANGUAGE, max(1, SAMPLE // len(counts)))
@@ -142,6 +145,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     rates = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(1.0, 1.2 * share / r["count"]))))
     place = (F.xxhash64(F.col("doc_id").cast("string")).cast("double") / F.lit(2.0**64) + 0.5).alias("place")
     rows = usable.withColumn("place", place).where(F.col("place") < F.element_at(rates, F.col("lang")))
+    rows = rows.groupBy("lang", "place", "doc_id").agg(F.min("text").alias("text"))
     drawn = rows.orderBy("place", "doc_id", "text").limit(2 * share * len(counts)).collect()
     taken: dict[str, int] = {}
     kept = []
@@ -175,7 +179,15 @@ def identified(docs: DataFrame, model: Model, columns: list[str] | None = None,
     return docs.select(*dict.fromkeys([*columns, text])).mapInArrow(run, schema)
 
 
-def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The documents with a letter, all columns: those that a model, if there is one, gives a language."""
+def with_language(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The documents with a letter, all columns: those that a model, if there is one, gives a language.
+
+    A document that bears no language gets the predicted one in ``lang``, if the table has that column
+    and the model a language for it.
+    """
     names = tuple(fresh_names(docs, "lang_pred", "score", "letter"))
-    return identified(docs, model, text=text, names=names).where(F.col(names[2])).select(*docs.columns)
+    kept = identified(docs, model, text=text, names=names).where(F.col(names[2]))
+    if lang not in docs.columns:
+        return kept.select(*docs.columns)
+    told = F.coalesce(F.col(lang), F.when(F.col(names[0]) != UNKNOWN, F.col(names[0]))).cast(docs.schema[lang].dataType)
+    return kept.select(*(told.alias(c) if c == lang else F.col(c) for c in docs.columns))

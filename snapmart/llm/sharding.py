@@ -1,6 +1,7 @@
 """Sharding over fixed virtual slots.
 
-A record's key hashes into one of ``SLOTS`` slots, for ever. Bytes and rows are summed
+A record's id and text hash into one of ``SLOTS`` slots, for ever: texts that share an id are
+spread, and equal rows lie together. Bytes and rows are summed
 per slot, and a map from slots to shards, one version after the other, says where a
 slot lives. Rebalancing edits the map: it moves slots from full shards to others and
 leaves the rest alone, so a new version moves few records. The map and the sums have
@@ -28,8 +29,8 @@ def record_size(text: Column | str) -> Column:
 
 
 def slot_of(key: Column, text: Column, slots: int = SLOTS) -> Column:
-    """The virtual slot of a record: by its key, or by its text if it has no key."""
-    return F.pmod(F.when(key.isNotNull(), F.xxhash64(key)).otherwise(F.xxhash64(utf8(text))), F.lit(slots)).cast("int")
+    """The virtual slot of a record, by its id (if it has one) and its text."""
+    return F.pmod(F.xxhash64(key, utf8(text)), F.lit(slots)).cast("int")
 
 
 def slot_sums(records: DataFrame) -> list[tuple[int, int, int]]:
@@ -72,7 +73,7 @@ def rebalanced(current: dict[int, int], weight: dict[int, int], shards: int) ->
         load[to] += weight.get(slot, 0)
         held[to].append(slot)
         out[slot] = to
-    for _ in range(50 * shards):
+    while True:  # each exchange brings two shards closer and none further apart, so it ends
         high, low = max(range(shards), key=lambda i: (load[i], -i)), min(range(shards), key=lambda i: (load[i], i))
         gap = load[high] - load[low]
         best = _exchange(sorted((weight.get(s, 0), s) for s in held[high]), sorted((weight.get(s, 0), s) for s in held[low]), gap)
@@ -140,9 +141,9 @@ def placed(docs: DataFrame, shards: int, path: str, slots: int = SLOTS, doc_id:
     """One row a document: doc_id, size, text_crc32, vslot, shard, slot.
 
     Bytes are near equal over the shards, as near as whole virtual slots allow; a
-    single text larger than a shard's share stays whole. ``slot`` numbers a shard's
+    single text larger than a shard's share stays whole, and so do rows equal in id and text. ``slot`` numbers a shard's
     rows from 0 without gaps, by virtual slot, then id, checksum and size. A null
-    text has no bytes but the overhead; a row without an id is placed by its text.
+    text has no bytes but the overhead; a row without an id is placed by its text alone.
     Repeated rows lie beside each other; an empty table gives no rows. The map is
     stored at ``path``, where a later call continues with its last version.
     """
@@ -166,7 +167,7 @@ def placed(docs: DataFrame, shards: int, path: str, slots: int = SLOTS, doc_id:
 
 def write_shards(docs: DataFrame, path: str, map_path: str, version: int, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text") -> None:
     """Write the documents in a folder a shard, by a stored version of the map. A shard is
-    written by many tasks, as its virtual slots are."""
+    written by many tasks, as its virtual slots are. A column of theirs named ``shard`` gives way to the folder's."""
     spark = docs.sparkSession
     (vslot,) = fresh_names(docs, "vslot")
     where = spark.read.schema(MAP).parquet(f"{map_path}/v={version}").select(F.col("vslot").alias(vslot), "shard")

@@ -70,3 +70,21 @@ def test_kernel_is_the_share_of_common_ngrams():
     got = langid.presence([a, b])
     want = len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b)))
     assert abs(float(got[0] @ got[1]) - want) < 1e-6  # no two of these share a bucket
+
+
+def test_every_language_is_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda n: letters[n % 26] + letters[n // 26 % 26] + letters[n * 7 % 26]
+    rows = [(i, f"{word(n)} {word(n)}{word(n)} " * 20, f"l{n:03d}") for n in range(250) for i in range(n * 8, n * 8 + 8)]
+    rows += [(3, f"abc {i}", "l000") for i in range(4000)]  # one much repeated id
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(langid.train(docs).languages) >= 245  # but for those of which every id is held out
+
+
+def test_missing_languages_are_filled_in(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang IS NOT NULL")
+    model = langid.train(docs)
+    unmarked = docs.selectExpr("doc_id", "text", "if(doc_id % 2 = 0, NULL, lang) AS lang", "lang AS true_lang")
+    rows = langid.with_language(unmarked, model).collect()
+    assert all(r.lang == r.true_lang for r in rows if r.doc_id % 2)
+    assert np.mean([r.lang == r.true_lang for r in rows if r.doc_id % 2 == 0]) > 0.98

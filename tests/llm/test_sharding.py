@@ -50,7 +50,29 @@ def test_versions_move_only_what_they_must(spark, tmp_path):
     assert moved < 0.25 * len(more)
     fewer = sharding.placed(docs, 5, path, slots=512).collect()
     check(rows, fewer, 5, 0.02)
-    assert sharding.load_map(spark, path, 1) == {**sharding.load_map(spark, path, 1)}
+    kept = sharding.load_map(spark, path, 1)
+    assert {r.doc_id: kept[r.vslot] for r in first} == {r.doc_id: r.shard for r in first}  # version 1 is as it was then
+
+
+def test_many_texts_of_one_id_are_spread(spark, tmp_path):
+    rows = [(7 if i % 2 else None, f"{i} " + "w" * (i * 37 % 301)) for i in range(20_000)]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], SCHEMA)
+    check(rows, sharding.placed(docs, 40, str(tmp_path / "map")).collect(), 40, 0.02)
+
+
+def test_placement_equals_brute_force(spark, tmp_path):
+    """Shards and places from the stored map, recomputed row by row."""
+    rows = [(i % 90 if i % 7 else None, None if i % 11 == 0 else "é" * (i * 13 % 101)) for i in range(700)]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], SCHEMA)
+    got = sharding.placed(docs, 6, str(tmp_path / "map"), slots=64).collect()
+    home = sharding.load_map(spark, str(tmp_path / "map"), 1)
+    assert all(home[r.vslot] == r.shard for r in got)
+    by_shard = defaultdict(list)
+    for r in got:
+        by_shard[r.shard].append((r.vslot, r.doc_id is not None, r.doc_id or 0, r.text_crc32, r.size, r.slot))
+    for places in by_shard.values():
+        ordered = sorted(places)
+        assert [p[:5] for p in sorted(places, key=lambda p: p[5])] == [p[:5] for p in ordered] and sorted(p[5] for p in places) == list(range(len(places)))
 
 
 @pytest.mark.parametrize("shards", [1, 2, 7, 40])

@@ -147,8 +147,9 @@ def unmatched_profile(
 def _match(
     df: DataFrame, parts: list[Column | str], lookup: DataFrame, keys: list[str], name: str
 ) -> DataFrame:
-    """Left join on the code parts. ``lookup`` must hold one row per key."""
-    known = lookup.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("text").alias(name))
+    """Left join on the code parts. Of a key listed more than once, the alphabetically first
+    text counts, so a lookup never multiplies rows."""
+    known = lookup.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min("text").alias(name))
     condition = reduce(
         lambda a, b: a & b,
         [

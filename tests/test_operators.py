@@ -76,6 +76,17 @@ def test_translations(spark):
     assert rows(lookup.add_description_by_pair(both, "g", "c", pairs, "t")) == [("2", "01", "b"), ("3", "01", None)]
 
 
+def test_repeated_lookup_keys_do_not_multiply_rows(spark):
+    twice = spark.createDataFrame([("01", "b"), ("01", "a"), ("01", None), ("02", "c")], "code string, text string")
+    df = spark.createDataFrame([("01",), ("02",), ("03",), (None,)], "c string")
+    assert rows(lookup.translate_code(df, "c", F.col("c"), twice)) == [("03",), ("a",), ("c",), (None,)]
+    assert rows(lookup.translate_inline(df, "c", F.col("c"), twice)) == [("01 - a",), ("02 - c",), ("03",), (None,)]
+    assert rows(lookup.add_description(df, "c", twice, "t")) == [("01", "a"), ("02", "c"), ("03", None), (None, None)]
+    pairs = spark.createDataFrame([("1", "01", "b"), ("1", "01", "a"), ("2", "01", "z")], "group string, code string, text string")
+    both = spark.createDataFrame([("1", "01")], "g string, c string")
+    assert rows(lookup.add_description_by_pair(both, "g", "c", pairs, "t")) == [("1", "01", "a")]
+
+
 def test_empty_lookup_keeps_codes(spark):
     df = spark.createDataFrame([("01",)], "c string")
     assert rows(lookup.translate_code(df, "c", F.col("c"), lookup.lookup_from(spark, {}))) == [("01",)]

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flow", "stock", "values", "frames", "store", "layers"]
+MODULES = ["flow", "stock", "values", "frames", "store", "layers", "summaries"]
 
 
 def load_all():

@@ -328,6 +328,11 @@ class Store:
         """A serving table: its newest version, or an older one that is kept."""
         return read_stored(self.spark, self.path(name), number=version)
 
+    def states(self, name: str) -> DataFrame:
+        """(period, content_hash) of the live months, from the ledger: no data is read."""
+        live = stored_periods(self.spark, self.path(name))
+        return ledger_current(self.period_ledger(name)).where(F.col(PERIOD).isin(live)).select(PERIOD, "content_hash")
+
     def counts(self, spec: TableSpec) -> DataFrame:
         """Rows per month in the serving copy; no column is read, only file footers."""
         if not table_exists(self.spark, self.path(spec.name)):

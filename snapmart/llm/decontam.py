@@ -2,53 +2,36 @@
 
 Every window of ten item words (a shorter item is one window) is a set of
 shingles. A document holds the window only if it holds all of its shingles, so one
-shingle is prefix enough: the rarest, by counts over all documents. Documents are
-joined with these prefix shingles; a match fixes where the window would have to
-start, which must lie inside the document together with its length. What remains
-is verified word by word.
-
-The windows go to the tasks by broadcast, in blocks of a bounded size: however
-large the benchmark is, a task holds one block at a time. Documents are not
-shuffled, so hot sources or passages make no hot task.
+shingle is prefix enough: the rarest, by counts over all documents; a window with a
+shingle that no document holds is out. Places of prefix shingles in documents are
+joined with the windows; a match fixes where the window would have to start, which
+must lie inside the document together with its length. What remains is verified word
+by word, against the words that stand around the place.
+
+Windows, counts and matches are tables and meet in equi-joins. All that goes to the
+tasks by broadcast are two bit fields of ``FILTER_BITS``, whatever the size of the benchmark:
+they tell most shingles that no window has, and a wrong yes only costs a row in a join.
+Places bear the 128-bit hash of their text, not a row number: equal texts are looked up
+once, and documents are not shuffled for the search.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.llm.common import batches, fresh_names, staged
-from snapmart.llm.textkernel import ALNUM_LOWER, Words, words
+from snapmart.llm.textkernel import ALNUM_LOWER, words
 from snapmart.sources.staging import discard
 
 WINDOW, SHINGLE = 10, 3
-#: Bytes of windows that a block may hold; a block is what is broadcast.
-BLOCK_BYTES = 16_000_000
-
-
-@dataclass
-class Block:
-    """Distinct windows: texts, lengths in words, the items of each, word hashes by length."""
-
-    text: list[bytes]
-    length: np.ndarray
-    items: list[list[str]]
-    hashes: list[np.ndarray]
-
-    def tokens(self, shingle: int) -> list[np.ndarray]:
-        """The shingle hashes of each window; a shorter window is one shingle."""
-        return [_shingle_hashes(h, min(shingle, len(h))) for h in self.hashes]
-
-
-def _shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    return Words(*[np.zeros(0, np.int64)] * 4).sequences(hashes, k)[: len(hashes) - k + 1]
+#: Bits of a broadcast filter (8 MB), a power of two. A million shingles set one bit in 64.
+FILTER_BITS = 1 << 26
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -69,117 +52,142 @@ def windows(benchmark: DataFrame, size: int = WINDOW, item_id: str = "item_id",
     return rows.mapInArrow(run, "item_id string, win string").distinct()
 
 
-def _blocks(found: DataFrame, limit: int) -> Iterator[Block]:
-    """The windows in blocks of about ``limit`` bytes of texts and ids, one at a time on the driver."""
-    grouped = staged(found.groupBy("win").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "windows")
-    size = F.octet_length("win") + 8 * F.size("items") + F.lit(64)
-    total = grouped.agg(F.sum(size)).first()[0] or 0
-    n = -(-total // limit)
-    for b in range(n):
-        rows = grouped.where(F.pmod(F.xxhash64("win"), F.lit(n)) == b).collect()
-        if not rows:
-            continue
-        text = [r.win.encode() for r in rows]
-        w = words(pa.array([r.win for r in rows]), ALNUM_LOWER)
-        parts = np.split(w.hashes(), w.first[1:-1])
-        yield Block(text, np.diff(w.first), [r["items"] for r in rows], parts)
-    discard(grouped)
-
-
-class Index:
-    """A block's prefix shingles, sorted, and the windows and offsets that each stands for."""
-
-    def __init__(self, block: Block, shingle: int, count: dict[int, int]):
-        by_token: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for i, tokens in enumerate(block.tokens(shingle)):
-            at = min(range(len(tokens)), key=lambda j: (count.get(int(tokens[j]), 0), int(tokens[j])))
-            by_token[min(shingle, int(block.length[i])), int(tokens[at])].append((i, at))
-        self.block = block
-        self.widths = sorted({k for k, _ in by_token})
-        self.parts = {}
-        for k in self.widths:
-            keys = sorted(h for w, h in by_token if w == k)
-            places = [by_token[k, h] for h in keys]
-            self.parts[k] = (
-                np.array(keys, np.uint64),
-                np.cumsum([0, *map(len, places)]),
-                np.array([i for p in places for i, _ in p]),
-                np.array([o for p in places for _, o in p]),
-            )
-        self.by_length = {n: np.flatnonzero(block.length == n) for n in np.unique(block.length).tolist()}
-        self.row = np.zeros(len(block.text), np.int64)
-        self.matrix = {}
-        for n, which in self.by_length.items():
-            self.row[which] = np.arange(len(which))
-            self.matrix[n] = np.array([block.hashes[i] for i in which])
-
-    def find(self, w: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, first word) of each occurrence in a run of documents."""
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        bounds = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-        for k in self.widths:
-            keys, first, which, offset = self.parts[k]
-            shingles = w.sequences(hashes, k)
-            at = np.searchsorted(keys, shingles)
-            at[at == len(keys)] = 0
-            hit = np.flatnonzero((keys[at] == shingles) & w.whole(k))
-            if not len(hit):
-                continue
-            token = at[hit]
-            many = first[token + 1] - first[token]
-            place = np.repeat(hit, many)
-            slot = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - first[token], many)
-            window, start = which[slot], place - offset[slot]
-            # Position: the window begins and ends inside the document of the shingle.
-            doc = bounds[place]
-            fits = (start >= w.first[doc]) & (start + self.block.length[window] <= w.first[doc + 1])
-            window, start = window[fits], start[fits]
-            for n in np.unique(self.block.length[window]):
-                some = self.block.length[window] == n
-                a, s = window[some], start[some]
-                same = (hashes[s[:, None] + np.arange(n)] == self.matrix[int(n)][self.row[a]]).all(axis=1)
-                a, s = a[same], s[same]
-                exact = np.fromiter((w.joined(int(y), int(y + n)) == self.block.text[x] for x, y in zip(a, s, strict=True)), bool, len(a))
-                found.append((a[exact], s[exact]))
-        return tuple(map(np.concatenate, zip(*found, strict=True)))
-
-
-def _counts(docs: DataFrame, text: str, blocks: list, shingle: int) -> dict[int, int]:
-    """How often the windows' shingles stand in all documents. Bounded by the windows of the blocks."""
+def _shingles(found: DataFrame, shingle: int) -> DataFrame:
+    """(win, length, k, h, at): the shingles of each window, k words from its word ``at`` on.
+
+    A window of fewer than ``shingle`` words is one shingle of all of them.
+    """
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in batches("win", rows):
+            w = words(texts, ALNUM_LOWER)
+            hashes, length = w.hashes(), np.diff(w.first)
+            for k in np.unique(np.minimum(length, shingle)).tolist():
+                mine = np.repeat(np.minimum(length, shingle) == k, length)
+                place = np.flatnonzero(w.whole(k) & mine)
+                doc = np.searchsorted(w.first, place, side="right") - 1
+                columns = [texts.take(pa.array(doc)), length[doc], np.full(len(place), k), w.sequences(hashes, k)[place].view(np.int64), place - w.first[doc]]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c.astype(np.int64)) for c in columns], ["win", "length", "k", "h", "at"])
+
+    return found.mapInArrow(run, "win string, length long, k long, h long, at long")
+
+
+class Filter:
+    """A bit for each hash modulo the number of bits, and the widths k that there are, for use in tasks."""
+
+    def __init__(self, keys: DataFrame, bits: int):
+        if bits < 1 or bits & (bits - 1):
+            raise ValueError("the bits of a filter must be a power of two")
+        position = F.pmod("h", F.lit(bits)) + 1
+        chunks = keys.groupBy("k", F.bitmap_bucket_number(position).alias("chunk")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(position)).alias("set")
+        )
+        self.bits, field, self.widths = bits, np.zeros((-(-bits // 32768), 4096), np.uint8), set()
+        # At most a row of 4 KB for each 32,768 bits and width.
+        for row in chunks.toLocalIterator():
+            field[row.chunk - 1] |= np.frombuffer(row.set, np.uint8)
+            self.widths.add(row.k)
+        self.field = keys.sparkSession.sparkContext.broadcast(field.reshape(-1))
+
+    def passes(self, hashes: np.ndarray) -> np.ndarray:
+        at = (hashes & np.uint64(self.bits - 1)).astype(np.int64)
+        return (self.field.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+    def __getstate__(self) -> dict:
+        return {"bits": self.bits, "widths": self.widths, "field": self.field}
+
+
+def _counts(docs: DataFrame, text: str, known: Filter) -> DataFrame:
+    """(k, h, n): how often shingles stand in all documents; those that no window has are left out, but for a few."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = {}
-        for b in blocks:
-            for tokens, n in zip(b.value.tokens(shingle), b.value.length, strict=True):
-                sets.setdefault(min(shingle, int(n)), []).append(tokens)
-        keys = {k: np.unique(np.concatenate(v)) for k, v in sets.items()}
-        total = {k: np.zeros(len(v), np.int64) for k, v in keys.items()}
         for _, texts in batches(text, rows):
             w = words(texts, ALNUM_LOWER)
             hashes = w.hashes()
-            for k, known in keys.items():
+            for k in known.widths:
                 found = w.sequences(hashes, k)[w.whole(k)]
-                at = np.searchsorted(known, found)
-                at[at == len(known)] = 0
-                total[k] += np.bincount(at[known[at] == found], minlength=len(known))
-        for k, known in keys.items():
-            some = total[k] > 0
-            yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[k][some])], ["h", "n"])
+                h, n = np.unique(found[known.passes(found)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int64)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["k", "h", "n"])
 
-    counted = docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return {r.h % 2**64: r.n for r in counted.collect()}
+    return docs.select(text).mapInArrow(run, "k long, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n"))
 
 
-def contamination(
+def _places(docs: DataFrame, text: str, prefixes: Filter, window: int, shingle: int) -> DataFrame:
+    """(a, b, k, h, place, before, around): where prefix shingles stand in texts of hashes a and b.
+
+    ``around`` are the words that a window through this place could cover, ``before`` of them ahead of it.
+    """
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in batches("text", rows):
+            w = words(texts, ALNUM_LOWER)
+            hashes = w.hashes()
+            for k in prefixes.widths:
+                found = w.sequences(hashes, k)
+                at = np.flatnonzero(w.whole(k) & prefixes.passes(found))
+                doc = np.searchsorted(w.first, at, side="right") - 1
+                reach = window - k if k == shingle else 0
+                lo, hi = np.maximum(w.first[doc], at - reach), np.minimum(w.first[doc + 1], at + k + reach)
+                around = pa.array([w.joined(i, j).decode() for i, j in zip(lo.tolist(), hi.tolist(), strict=True)], pa.string())
+                a, b = (batch.column(batch.schema.get_field_index(c)).take(pa.array(doc)) for c in ("a", "b"))
+                numbers = [pa.array(v.astype(np.int64)) for v in (np.full(len(at), k), found[at].view(np.int64), at - w.first[doc], at - lo)]
+                yield pa.RecordBatch.from_arrays([a, b, *numbers, around], ["a", "b", "k", "h", "place", "before", "around"])
+
+    a, b = _digest(text)
+    return docs.select(a.alias("a"), b.alias("b"), F.col(text).alias("text")).mapInArrow(
+        run, "a long, b long, k long, h long, place long, before long, around string"
+    )
+
+
+def _digest(text: str) -> tuple[Column, Column]:
+    whole = F.coalesce(text, F.lit(""))
+    return F.xxhash64(whole), F.xxhash64(F.lit("second"), whole)
+
+
+def found_in_texts(
     docs: DataFrame,
     benchmark: DataFrame,
-    columns: list[str] | None = None,
-    names: tuple[str, str, str, str] = ("n_words", "n_hit", "items", "spans"),
     window: int = WINDOW,
     shingle: int = SHINGLE,
-    block_bytes: int = BLOCK_BYTES,
+    filter_bits: int = FILTER_BITS,
     text: str = "text",
     item_id: str = "item_id",
+) -> DataFrame:
+    """(a, b, places, items) of each text that holds a window: the hashes of the text, the occurrences
+    as {(first word, length)}, and the ids of the items, sorted as strings. Written to the staging folder."""
+    if not 1 <= shingle:
+        raise ValueError("a shingle has one word or more")
+    listed = staged(windows(benchmark, window, item_id, text), "windows")
+    shingles = staged(_shingles(listed.select("win").distinct(), shingle), "shingles")
+    counts = _counts(docs, text, Filter(shingles.select("k", "h"), filter_bits))
+    counted = shingles.join(counts, ["k", "h"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = counted.groupBy("win", "length", "k").agg(F.min(F.struct("n", "h", "at")).alias("_r")).where(F.col("_r.n") > 0)
+    prefixes = staged(rarest.select("win", "length", "k", "_r.h", "_r.at"), "prefixes")
+
+    # Equal texts have equal places: one row each, before they meet the windows.
+    places = _places(docs, text, Filter(prefixes.select("k", "h"), filter_bits), window, shingle).distinct()
+    start, covered = F.col("before") - F.col("at"), F.split("around", " ")
+    same = F.array_join(F.slice(covered, (start + 1).cast("int"), F.col("length").cast("int")), " ") == F.col("win")
+    inside = (start >= 0) & (start + F.col("length") <= F.size(covered))
+    matches = places.join(prefixes, ["k", "h"]).where(F.when(inside, same).otherwise(False))
+    hits = staged(matches.select("a", "b", "win", (F.col("place") - F.col("at")).alias("first"), "length"), "hits")
+
+    stretches = hits.groupBy("a", "b").agg(F.collect_set(F.struct("first", "length")).alias("places"))
+    named = hits.select("a", "b", "win").distinct().join(listed.where(F.col("item_id").isNotNull()), "win")
+    items = named.groupBy("a", "b").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    found = staged(stretches.join(items, ["a", "b"], "left"), "contaminated")
+    for done in (listed, shingles, prefixes, hits):
+        discard(done)
+    return found
+
+
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    columns: list[str] | None = None,
+    names: tuple[str, str, str, str] = ("n_words", "n_hit", "items", "spans"),
+    text: str = "text",
+    **options,
 ) -> DataFrame:
     """``columns`` of the documents (all by default) and what was found in each.
 
@@ -189,40 +197,35 @@ def contamination(
     without words has none. Items may repeat; an item without an id marks words but
     is not listed. Rows come back as often as they came; a column of the documents
     that bears one of ``names`` is replaced. An empty benchmark finds nothing.
+    ``options`` are those of ``found_in_texts``.
     """
-    spark = docs.sparkSession
     columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in {n.lower() for n in names}]
-    blocks = [spark.sparkContext.broadcast(b) for b in _blocks(windows(benchmark, window, item_id, text), block_bytes)]
-    count = [_counts(docs, text, [b], shingle) for b in blocks]
     schema = docs.select(*columns).schema.add(names[0], "long").add(names[1], "long").add(names[2], T.ArrayType(T.StringType()))
     schema = schema.add(names[3], T.ArrayType(T.StructType().add("first", "long").add("past", "long")))
     out_types = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))]
+    a, b, places, items = fresh_names(docs, "a", "b", "places", "items")
+    found = found_in_texts(docs, benchmark, text=text, **options).toDF(a, b, places, items)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = None
         for batch, texts in batches(text, rows):
             w = words(texts, ALNUM_LOWER)
-            hashes = w.hashes()
-            change = np.zeros(len(hashes) + 1, np.int64)
-            listed: dict[int, set] = defaultdict(set)
-            for b, counted in zip(blocks, count, strict=True):
-                if index is None or index[0] is not b:
-                    index = (b, Index(b.value, shingle, counted))
-                which, start = index[1].find(w, hashes)
-                np.add.at(change, start, 1)
-                np.add.at(change, start + index[1].block.length[which], -1)
-                for x, doc in zip(which, np.searchsorted(w.first, start, side="right") - 1, strict=True):
-                    listed[int(doc)].update(index[1].block.items[x])
+            at, named = (batch.column(batch.schema.get_field_index(c)) for c in (places, items))
+            change = np.zeros(int(w.first[-1]) + 1, np.int64)
+            for i in np.flatnonzero(at.is_valid()).tolist():
+                for place in at[i].as_py():
+                    first = int(w.first[i]) + place["first"]
+                    change[first] += 1
+                    change[first + place["length"]] -= 1
             hit = np.cumsum(change)[:-1] > 0
-            n_words = np.diff(w.first)
-            total = np.concatenate([[0], np.cumsum(hit)])
+            n_words, total = np.diff(w.first), np.concatenate([[0], np.cumsum(hit)])
             n_hit = total[w.first[1:]] - total[w.first[:-1]]
-            spans = [_spans(hit[a:b]) if n else [] for a, b, n in zip(w.first[:-1], w.first[1:], n_hit, strict=True)]
-            items = [sorted(listed.get(i, ())) for i in range(len(n_words))]
-            own = [pa.array(v, t) for v, t in zip((n_words, n_hit, items, spans), out_types, strict=True)]
+            spans = [_spans(hit[i:j]) if n else [] for i, j, n in zip(w.first[:-1], w.first[1:], n_hit, strict=True)]
+            own = [pa.array(v, t) for v, t in zip((n_words, n_hit, [n or [] for n in named.to_pylist()], spans), out_types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in columns), *own], [*columns, *names])
 
-    return docs.select(*dict.fromkeys([*columns, text])).mapInArrow(run, schema)
+    first, second = _digest(text)
+    keyed = docs.select(*dict.fromkeys([*columns, text]), first.alias(a), second.alias(b))
+    return keyed.join(found, [a, b], "left").drop(a, b).mapInArrow(run, schema)
 
 
 def _spans(hit: np.ndarray) -> list[dict]:
@@ -230,8 +233,9 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"first": int(a), "past": int(b)} for a, b in edge.reshape(-1, 2)]
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents without a benchmark window, all columns and repeated rows kept."""
-    names = tuple(fresh_names(docs, "n_words", "n_hit", "items", "spans"))
-    found = contamination(docs, benchmark, names=names, **options)
-    return found.where(F.col(names[1]) == 0).select(*docs.columns)
+    a, b = fresh_names(docs, "a", "b")
+    found = found_in_texts(docs, benchmark, text=text, **options).select(F.col("a").alias(a), F.col("b").alias(b))
+    first, second = _digest(text)
+    return docs.withColumns({a: first, b: second}).join(found, [a, b], "left_anti").select(*docs.columns)

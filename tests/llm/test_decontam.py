@@ -41,7 +41,7 @@ def rows(spark):
     return spark.createDataFrame(DOCS, "doc_id long, text string, items string"), spark.createDataFrame(ITEMS, "item_id long, text string")
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 300}, {"shingle": 1}, {"shingle": 12}, {"window": 4}])
+@pytest.mark.parametrize("options", [{}, {"filter_bits": 64}, {"filter_bits": 1 << 16}, {"shingle": 1}, {"shingle": 12}, {"window": 4}])
 def test_matches_brute_force(spark, options):
     docs, items = rows(spark)
     got = decontam.contamination(docs, items, ["doc_id"], **options).collect()
@@ -62,3 +62,24 @@ def test_empty(spark):
     assert decontam.contamination(docs.limit(0), items).count() == 0
     none = decontam.contamination(docs, items.limit(0), ["doc_id"]).collect()
     assert len(none) == len(DOCS) and all(r.n_hit == 0 and r["items"] == [] for r in none)
+
+
+def test_a_place_shared_by_many_windows_and_copies(spark):
+    head = "please answer the following question in one"
+    items = [(i, f"{head} word number n{i} now") for i in range(300)]
+    docs = [(i, f"so {head} word number n{i % 400} now and here", "") for i in range(900)] + [(5000 + i, f"x {head} word number n7 now", "") for i in range(500)]
+    got = decontam.contamination(spark.createDataFrame(docs, "doc_id long, text string, extra string"), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])
+    texts = {d[0]: d[1] for d in docs}
+    want = {t: brute(t, items)[1:] for t in set(texts.values())}
+    for r in got.collect():
+        assert (r.n_hit, r["items"]) == want[texts[r.doc_id]]
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, ITEMS[0][1], 3, "p", "q"), (1, ITEMS[0][1], 3, "p", "q"), (2, None, 4, "p", "q")], "doc_id long, text string, a long, places string, win string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = decontam.contamination(docs, items).collect()
+    assert [(r.doc_id, r.a, r.places, r.win, r.n_hit) for r in sorted(got, key=lambda r: r.doc_id)] == [(1, 3, "p", "q", 12)] * 2 + [(2, 4, "p", "q", 0)]
+    assert [tuple(r) for r in decontam.clean_documents(docs, items).collect()] == [(2, None, 4, "p", "q")]
+    with pytest.raises(ValueError):
+        decontam.contamination(docs, items, filter_bits=100)

@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -202,30 +203,35 @@ def contamination(
     columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in {n.lower() for n in names}]
     schema = docs.select(*columns).schema.add(names[0], "long").add(names[1], "long").add(names[2], T.ArrayType(T.StringType()))
     schema = schema.add(names[3], T.ArrayType(T.StructType().add("first", "long").add("past", "long")))
-    out_types = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))]
-    a, b, places, items = fresh_names(docs, "a", "b", "places", "items")
-    found = found_in_texts(docs, benchmark, text=text, **options).toDF(a, b, places, items)
+    out_types = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))]
+    a, b, places, listed = fresh_names(docs, "a", "b", "places", "items")
+    found = found_in_texts(docs, benchmark, text=text, **options).toDF(a, b, places, listed)
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(text, rows):
-            w = words(texts, ALNUM_LOWER)
-            at, named = (batch.column(batch.schema.get_field_index(c)) for c in (places, items))
-            change = np.zeros(int(w.first[-1]) + 1, np.int64)
-            for i in np.flatnonzero(at.is_valid()).tolist():
-                for place in at[i].as_py():
-                    first = int(w.first[i]) + place["first"]
-                    change[first] += 1
-                    change[first + place["length"]] -= 1
-            hit = np.cumsum(change)[:-1] > 0
-            n_words, total = np.diff(w.first), np.concatenate([[0], np.cumsum(hit)])
-            n_hit = total[w.first[1:]] - total[w.first[:-1]]
-            spans = [_spans(hit[i:j]) if n else [] for i, j, n in zip(w.first[:-1], w.first[1:], n_hit, strict=True)]
-            own = [pa.array(v, t) for v, t in zip((n_words, n_hit, [n or [] for n in named.to_pylist()], spans), out_types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in columns), *own], [*columns, *names])
-
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in (*columns, a, b)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(words(texts, ALNUM_LOWER).first))], [*columns, a, b, names[0]])
+
+    def mark(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            n_words, at, named = (batch.column(batch.schema.get_field_index(c)) for c in (names[0], places, listed))
+            n_hit, spans = [], []
+            for n, occurrences in zip(n_words.to_pylist(), at, strict=True):
+                change = np.zeros(n + 1 if occurrences.is_valid else 1, np.int64)
+                for place in occurrences.as_py() or ():
+                    change[place["first"]] += 1
+                    change[place["first"] + place["length"]] -= 1
+                hit = np.cumsum(change)[:-1] > 0
+                n_hit.append(int(hit.sum()))
+                spans.append(_spans(hit))
+            own = [pa.array(v, t) for v, t in zip((n_hit, [v or [] for v in named.to_pylist()], spans), out_types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in (*columns, names[0])), *own], [*columns, *names])
+
+    # Words are counted where the documents are read: the text meets no join unless it is asked for.
     first, second = _digest(text)
     keyed = docs.select(*dict.fromkeys([*columns, text]), first.alias(a), second.alias(b))
-    return keyed.join(found, [a, b], "left").drop(a, b).mapInArrow(run, schema)
+    short = docs.select(*columns).schema.add(a, "long").add(b, "long").add(names[0], "long")
+    return keyed.mapInArrow(count, short).join(found, [a, b], "left").drop(a, b).mapInArrow(mark, schema)
 
 
 def _spans(hit: np.ndarray) -> list[dict]:
@@ -233,9 +239,22 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"first": int(a), "past": int(b)} for a, b in edge.reshape(-1, 2)]
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents without a benchmark window, all columns and repeated rows kept."""
-    a, b = fresh_names(docs, "a", "b")
-    found = found_in_texts(docs, benchmark, text=text, **options).select(F.col("a").alias(a), F.col("b").alias(b))
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", filter_bits: int = FILTER_BITS, **options) -> DataFrame:
+    """The documents without a benchmark window, all columns and repeated rows kept.
+
+    A filter over the texts found tells most documents that they are clean where they are read; only the
+    others are shuffled with their texts, to be compared with those found.
+    """
+    a, b, maybe = fresh_names(docs, "a", "b", "maybe")
+    found = found_in_texts(docs, benchmark, text=text, filter_bits=filter_bits, **options)
+    marked = Filter(found.select(F.lit(0).alias("k"), F.col("a").alias("h")), filter_bits)
+
+    @F.pandas_udf("boolean")
+    def passes(h: pd.Series) -> pd.Series:
+        return pd.Series(marked.passes(h.to_numpy(np.int64).view(np.uint64)))
+
     first, second = _digest(text)
-    return docs.withColumns({a: first, b: second}).join(found, [a, b], "left_anti").select(*docs.columns)
+    keyed = docs.withColumn(a, first).withColumn(maybe, passes(a))
+    asked = keyed.where(F.col(maybe)).withColumn(b, second)
+    kept = asked.join(found.select(F.col("a").alias(a), F.col("b").alias(b)), [a, b], "left_anti")
+    return keyed.where(~F.col(maybe)).select(*docs.columns).unionByName(kept.select(*docs.columns))

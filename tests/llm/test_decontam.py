@@ -83,3 +83,14 @@ def test_clashing_names(spark):
     assert [tuple(r) for r in decontam.clean_documents(docs, items).collect()] == [(2, None, 4, "p", "q")]
     with pytest.raises(ValueError):
         decontam.contamination(docs, items, filter_bits=100)
+
+
+def test_clean_documents_are_not_shuffled(spark):
+    docs, items = rows(spark)
+    plan = decontam.clean_documents(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Union") == 1 and "Exchange" not in plan.split("Union")[1].split("Join")[0]
+    counted = decontam.contamination(docs, items, ["doc_id"])
+    joined = [line for line in counted._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert len(joined) == 1
+    for options in ({"filter_bits": 1}, {"filter_bits": 64}, {}):
+        assert sorted(map(str, decontam.clean_documents(docs, items, **options).collect())) == sorted(str(r) for r in docs.collect() if not brute(r.text, ITEMS)[1])

@@ -96,7 +96,8 @@ def rollup_refresh(spark, d):
     )
 
 
-YEAR = F.substring("period", 1, 4).alias("year")
+def year():
+    return F.substring("period", 1, 4).alias("year")
 
 
 @query("distinct_bitmaps", with_ctes([PLACES, UNITS], """
@@ -112,7 +113,7 @@ def distinct_bitmaps(spark, d):
     kept = s.bitmap_summary("units", read_stored(spark, numbers), "unit_id", "place_id")
     s.refresh(rows, sync.fingerprint(rows), path, kept)
     placed = read_stored(spark, path).join(full.places.select("place_id", "region"), "place_id")
-    return s.distinct_from_bitmaps(placed.withColumn("year", YEAR), ["region", "year"], "units")
+    return s.distinct_from_bitmaps(placed.withColumn("year", year()), ["region", "year"], "units")
 
 
 @query("distinct_sketches", with_ctes([STAFF], """
@@ -123,8 +124,8 @@ def distinct_sketches(spark, d):
     rows = star(spark, d, "staff").staff.withColumn("period", period_key("period_date"))
     path = new_path(spark, "sketches")
     s.refresh(rows, sync.fingerprint(rows), path, s.theta_summary("persons", "person_id"))
-    about = s.distinct_from_sketches(read_stored(spark, path).withColumn("year", YEAR), ["year"], "_about")
-    exact = rows.groupBy(YEAR).agg(F.count_distinct("person_id").alias("persons"))
+    about = s.distinct_from_sketches(read_stored(spark, path).withColumn("year", year()), ["year"], "_about")
+    exact = rows.groupBy(year()).agg(F.count_distinct("person_id").alias("persons"))
     error = F.abs(F.col("_about") - F.col("persons"))
     return exact.join(about, "year").select("year", "persons", (error <= F.col("persons") * s.THETA_ERROR).alias("within"))
 
@@ -137,10 +138,10 @@ def quantile_sketches(spark, d):
     rows = star(spark, d, "admissions", lean=("orders", "part", "supplier")).admissions.select("cost", period_key("period_date").alias("period"))
     ranks, path = {"q25": 0.25, "q50": 0.5, "q95": 0.95}, new_path(spark, "quantiles")
     s.refresh(rows, sync.fingerprint(rows), path, s.quantile_summary("cost", "cost"))
-    found = s.quantiles_from_sketches(read_stored(spark, path).withColumn("year", YEAR), ["year"], ranks)
+    found = s.quantiles_from_sketches(read_stored(spark, path).withColumn("year", year()), ["year"], ranks)
     checks = []
     for name, rank in ranks.items():
         below, upto = (F.avg(c.cast("int")) for c in (F.col("cost") < F.col(name), F.col("cost") <= F.col(name)))
         checks.append(((below <= rank + s.KLL_ERROR) & (upto >= rank - s.KLL_ERROR)).alias(name))
     # A row a year: the sketches' answers are read beside each cost.
-    return rows.withColumn("year", YEAR).join(found, "year").groupBy("year", "n_values").agg(*checks)
+    return rows.withColumn("year", year()).join(found, "year").groupBy("year", "n_values").agg(*checks)

@@ -3,6 +3,8 @@ its SQL on the smallest test data."""
 
 import datetime as dt
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -141,3 +143,10 @@ def duck():
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
+
+
+def test_registry_needs_no_session():
+    """The queries can be listed before a Spark session exists."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

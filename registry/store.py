@@ -23,7 +23,7 @@ from snapmart.sources.files import (
 from snapmart.sources.manifest import choose_files, landing_manifest, not_landed, source_list, text_list
 from snapmart.sources.staging import child_names, move, new_path
 from snapmart.sources.versions import FACTOR, append, load_version, read_stored
-from snapmart.streaming import landing
+from snapmart.streaming import event_time, landing
 
 COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
 LIST = ", ".join(COLUMNS)
@@ -502,6 +502,19 @@ def stream_month_counts(spark, d):
     return landing.month_counts(read_stored(spark, out), ["event_type"])
 
 
+@query("stream_event_time", """
+SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+def stream_event_time(spark, d):
+    """Files in no order of time: what comes behind the watermark is counted in the side table."""
+    path, events = event_files(spark, d)
+    out, late, checkpoint = (new_path(spark, n) for n in ("counts", "late", "checkpoint"))
+    stream = landing.file_stream(spark, path, events.schema, 1)
+    event_time.event_time_counts(stream, "ts", ["event_type"], "3 days", out, late, checkpoint)
+    counts = event_time.current_counts(read_stored(spark, out), ["event_type"])
+    both = event_time.with_late(counts, read_stored(spark, late), ["event_type"])
+    return both.select("day", "event_type", (F.col("on_time") + F.col("late")).alias("n"))
+
+
 # ---- guards -----------------------------------------------------------------------
 
 def refused(step, message: str) -> bool:

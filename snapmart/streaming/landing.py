@@ -42,11 +42,15 @@ def ingest_available(
     restart. With ``period`` the landed table is stored by month. Read it with ``read_stored``."""
     rows = file_stream(spark, path, schema, files_per_batch)
     stored = rows if period is None else rows.withColumn(PERIOD, period)
-    return _each_batch(stored, lambda batch, number: append(batch, out, [] if period is None else [PERIOD], number), checkpoint)
+    return each_batch(stored, lambda batch, number: append(batch, out, [] if period is None else [PERIOD], number), checkpoint)
 
 
-def _each_batch(stream: DataFrame, land: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    query = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def each_batch(
+    stream: DataFrame, land: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
+    """Hand what is new to ``land``, batch by batch under its number, then stop."""
+    writer = stream.writeStream.foreachBatch(land).outputMode(mode).option("checkpointLocation", checkpoint)
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -81,7 +85,7 @@ def refresh_changed_periods(
         if note:
             note(fingerprint(scan_periods(spark, target, touched)), number)
 
-    return _each_batch(stream, batch, checkpoint)
+    return each_batch(stream, batch, checkpoint)
 
 
 def day_counts(stream: DataFrame, time: str, keys: list[str], out: str, checkpoint: str) -> StreamingQuery:
@@ -110,7 +114,7 @@ def day_counts(stream: DataFrame, time: str, keys: list[str], out: str, checkpoi
             write_periods(merged, out)
         discard(counts)
 
-    return _each_batch(stream, publish, checkpoint)
+    return each_batch(stream, publish, checkpoint)
 
 
 def day_table(table: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["flow", "stock", "values", "frames", "store", "layers", "summaries"]
+MODULES = ["flow", "stock", "values", "frames", "store", "layers", "summaries", "colocated"]
 
 
 def load_all():

@@ -56,6 +56,8 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
     spark = df.sparkSession
     if buckets < 1:
         raise ValueError("a table needs at least one bucket")
+    if {"_key", "_hot"} & set(df.columns):
+        raise ValueError("rename the columns _key and _hot first")
     if path_exists(spark, path):
         raise FileExistsError(path)
     staged = stage(df, "buckets")

@@ -72,6 +72,8 @@ def test_unlike_buckets_and_second_writes_are_refused(spark, stored, tmp_path):
         join_bucketed(four, four, "full")
     with pytest.raises(FileExistsError):
         write_bucketed(frame, str(tmp_path / "a"), "k", 4)
+    with pytest.raises(ValueError, match="rename"):
+        write_bucketed(frame.withColumnRenamed("b", "_hot"), str(tmp_path / "c"), "k", 4)
     (tmp_path / "half").mkdir()
     with pytest.raises(Exception, match="_buckets.json"):  # its writer died
         open_bucketed(spark, str(tmp_path / "half"))

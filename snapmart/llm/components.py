@@ -2,8 +2,8 @@
 
 Each round hangs the larger neighbours of a node, then the smaller ones, on the
 least node known; the rounds end with one star a component. The least neighbour
-is an aggregate joined back to the links, so a node with very many links is
-spread over tasks like any skewed join key.
+is an aggregate, reduced in each task first, and joined back to the links. The
+links of one node meet in one task of that join unless adaptive execution splits it.
 """
 
 from __future__ import annotations

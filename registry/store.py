@@ -381,22 +381,26 @@ def projected_read(spark, d):
 
 
 @query("source_inventory", """
-SELECT 'orders' AS name, count(*) AS row_count, true AS sized, true AS own_tags FROM orders
-UNION ALL SELECT 'supplier', count(*), true, true FROM supplier
-UNION ALL SELECT 'nation', count(*), true, true FROM nation""")
+SELECT 'orders' AS name, count(*) AS row_count, true AS sized, true AS own_tags, true AS all_listed, count(DISTINCT coalesce(strftime(o_orderdate, '%Y%m'), '')) AS months FROM orders
+UNION ALL SELECT 'supplier', count(*), true, true, true, CAST(count(*) > 0 AS BIGINT) FROM supplier
+UNION ALL SELECT 'nation', count(*), true, true, true, CAST(count(*) > 0 AS BIGINT) FROM nation""")
 def inventory(spark, d):
-    """The files of the given tables where they lie, and the rows that each holds by its own name."""
-    parts = []
-    for n in ("orders", "supplier", "nation"):
-        path = f"{d}/{n}.parquet"
-        files = source_inventory(spark, path)
-        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name")
-        rows = spark.read.parquet(path).groupBy(name).agg(F.count("*").alias("row_count"))
-        found = files.join(rows, "name", "left").agg(
-            F.sum("row_count").alias("row_count"), F.min(F.col("size") > 0).alias("sized"), (F.count_distinct("tag") == F.count("*")).alias("own_tags")
-        )
-        parts.append(found.select(F.lit(n).alias("name"), "row_count", "sized", "own_tags"))
-    return reduce(DataFrame.unionByName, parts)
+    """The tables are written whole, orders by month; one inventory of their folder finds every file, and the rows that each holds."""
+    root, months = new_path(spark, "inventory"), {"orders": month("o_orderdate"), "supplier": F.lit("all"), "nation": F.lit("all")}
+    held = []
+    for n, value in months.items():
+        rows = table(spark, d, n).withColumn("month", value)
+        rows.hint("rebalance", "month").write.partitionBy("month").parquet(f"{root}/{n}")
+        read = spark.read.schema(rows.schema).parquet(f"{root}/{n}").groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("row_count"))
+        held.append(read.withColumn("stored", F.lit(n)))
+    files = source_inventory(spark, root).withColumn("name", F.element_at(F.split("path", "/"), -3))
+    found = files.join(reduce(DataFrame.unionByName, held), "path", "full").groupBy(F.coalesce("name", "stored").alias("name"))
+    counted = found.agg(
+        F.sum("row_count").alias("row_count"), F.min(F.col("size") > 0).alias("sized"), (F.count_distinct("tag") == F.count("*")).alias("own_tags"),
+        F.min(F.col("tag").isNotNull()).alias("all_listed"), F.count_distinct(F.element_at(F.split("path", "/"), -2)).alias("months"),
+    )
+    names = spark.createDataFrame([(n,) for n in months], "name string")  # a table without rows has no file
+    return names.join(counted, "name", "left").fillna(0, ["row_count", "months"]).fillna(True, ["sized", "own_tags", "all_listed"])
 
 
 # ---- landing ----------------------------------------------------------------------

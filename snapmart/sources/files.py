@@ -119,7 +119,10 @@ def periods_in(df: DataFrame, period: str = PERIOD) -> DataFrame:
 
 
 def source_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """(name, size, modified, tag) per live file of a table, or per file below a folder, contents unread."""
+    """(name, path, size, modified, tag) per live file of a table, or per file below a folder, contents unread.
+
+    Files of several folders may share a name; the path is that of ``_metadata.file_path``.
+    """
     version = load_version(spark, path)
     paths = [f"{path}/{p.folder}" for p in version.rows()] if version else [path]
     files = (
@@ -127,13 +130,14 @@ def source_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") ->
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(paths)
-        .select("path", "length", "modificationTime")
+        .select("path", "length", "modificationTime", F.col("_metadata.file_path").alias("_found"))
     )
     tag = F.sha2(
         F.concat_ws("|", "path", "length", F.unix_micros("modificationTime").cast("string")), 256
     )
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("name"),
+        F.col("_found").alias("path"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
         tag.alias("tag"),

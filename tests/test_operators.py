@@ -187,6 +187,28 @@ def test_period_files(spark, tmp_path):
     assert files.source_inventory(spark, path).count() == 2
 
 
+def test_inventory_tells_files_of_one_name_apart(spark, tmp_path):
+    """Files of two folders share a name; each is found by its own path, with its own rows."""
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "v int, k string").coalesce(1).write.partitionBy("k").parquet(path)
+    found = files.source_inventory(spark, path)
+    assert found.select("name").distinct().count() == 1
+    read = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).count()
+    assert sorted(r["count"] for r in found.join(read, "path").collect()) == [1, 2]
+
+
+def test_inventory_query_writes_every_table(spark, tmp_path):
+    """Every table is written and inventoried: orders of two months and of none, suppliers, and no nation."""
+    from registry import load_all
+
+    d = str(tmp_path)
+    spark.sql("SELECT * FROM VALUES (1, timestamp_ntz'1996-01-02'), (2, timestamp_ntz'1996-02-02'), (3, NULL) AS t(o_orderkey, o_orderdate)").write.parquet(f"{d}/orders.parquet")
+    spark.range(4).write.parquet(f"{d}/supplier.parquet")
+    spark.range(0).write.parquet(f"{d}/nation.parquet")
+    got = load_all().QUERIES["source_inventory"](spark, d).select("name", "row_count", "sized", "own_tags", "all_listed", "months")
+    assert rows(got) == [("nation", 0, True, True, True, 0), ("orders", 3, True, True, True, 3), ("supplier", 4, True, True, True, 1)]
+
+
 def test_named_files(spark, tmp_path):
     one = spark.createDataFrame([(1, "x")], "a int, b string")
     one.write.parquet(str(tmp_path / "raw_cnes_st_ac_202501.parquet"))

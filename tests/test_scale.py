@@ -91,3 +91,40 @@ def test_staged_tables_go_to_the_shared_folder(spark):
     staged = staging.stage(spark.range(10), "numbers")
     assert staged.count() == 10
     assert all(root in f for f in staged.inputFiles())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+@pytest.mark.parametrize("name", ["fingerprint_by_period", "fingerprint_changes"])
+def test_another_layout_has_no_fixed_number_of_tasks(spark, name):
+    from registry import load_all
+
+    plan = load_all().QUERIES[name](spark, SF)._jdf.queryExecution()
+    assert "Repartition" not in plan.optimizedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_NONE" in plan.executedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_quantiles_join_the_tables_once(spark):
+    from registry import load_all
+
+    found = load_all().QUERIES["quantile_sketches"](spark, SF).inputFiles()
+    assert found and not any("lineitem" in f for f in found)
+
+
+def test_distinct_values_scan_once(spark, tmp_path):
+    from snapmart.operators import aggregate
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", "1", "k"), ("a", None, "k"), (None, "1", "l")], "x string, w string, k string").write.parquet(path)
+    values = aggregate.distinct_values(spark.read.parquet(path), ["x", "w"], ["k"], wide=["w"])
+    assert values._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert sorted(map(tuple, values.collect())) == [("k", "w", "1"), ("k", "x", "a"), ("l", "w", "1")]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_filter_values_shuffle_admissions_once(spark):
+    """The joins of an admission are made in one pass for all its columns."""
+    from registry import load_all
+
+    plan = load_all().QUERIES["filter_values"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("p_type#") and plan.count("l_returnflag") and plan.count("o_orderpriority") and sum("Relation" in r and "o_orderkey" in r for r in plan.splitlines()) == 1

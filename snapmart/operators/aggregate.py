@@ -229,17 +229,14 @@ def distinct_values(df: DataFrame, columns: list[str], keys: list[str] = (), wid
 
     Rows are first reduced to the combinations of the columns inside each task, and
     only those are listed value by value. A column with many values (``wide``) is
-    reduced on its own, in a scan of that column, as it would multiply the combinations.
+    reduced on its own, in the same scan, as it would multiply the combinations.
     """
-    narrow = [c for c in columns if c not in wide]
-
-    def listed(names: list[str]) -> DataFrame:
-        values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in names]
-        combinations = df.select(*keys, *names).distinct()
-        return combinations.select(*keys, F.inline(F.array(*values))).where(F.col("value").isNotNull())
-
-    parts = [listed(names) for names in ([narrow] if narrow else []) + [[c] for c in wide]]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    narrow, every = [c for c in columns if c not in wide], [F.col(k) for k in keys]
+    sets = [[*every, *(F.col(c) for c in names)] for names in ([narrow] if narrow else []) + [[c] for c in wide]]
+    # A column outside its set is NULL there, and NULL is not listed.
+    combinations = df.groupingSets(sets, *every, *(F.col(c) for c in columns)).agg(F.grouping_id().alias("_set"))
+    values = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    return combinations.select(*keys, F.inline(F.array(*values))).where(F.col("value").isNotNull()).distinct()
 
 
 def _ascending(keys: list[str]) -> list[Column]:

@@ -447,11 +447,10 @@ def filter_values(star: Star, start: dt.date, end: dt.date, scope: Scope = EVERY
     rows = keep_units(
         star.admissions.where(day_range("entry_date", start, end)), star.units, "unit_version", scope
     )
-    # The joins see the distinct values of each facility version, not admissions.
-    values = distinct_values(rows, columns, ["care_place", "unit_version"], wide=["ethnicity"])
-    placed = keep_places(values, star.places, "care_place", scope, always=True)
+    # Few admissions share a facility version: reducing them to its values first would shuffle as many rows three times.
+    placed = keep_places(rows.select("care_place", "unit_version", *columns), star.places, "care_place", scope, always=True)
     kept = placed.join(star.units.select("unit_version"), "unit_version", "left_semi")
-    return kept.select("column", "value").distinct().orderBy("column", "value")
+    return distinct_values(kept, columns, wide=["ethnicity"]).orderBy("column", "value")
 
 
 def demographics(

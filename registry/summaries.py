@@ -12,7 +12,7 @@ from registry.standin import ADMISSIONS, PLACES, STAFF, UNITS, star
 from snapmart.functions.dates import key_period, period_key
 from snapmart.plans import summaries as s, sync
 from snapmart.sources.files import write_periods
-from snapmart.sources.staging import new_path
+from snapmart.sources.staging import new_path, stage
 from snapmart.sources.versions import read_stored
 
 # Neither end is the end of a month, so that days at both edges come from the fact.
@@ -29,7 +29,7 @@ def _stored(spark, d):
     path = new_path(spark, "fact")
     write_periods(full.admissions.withColumn("period", period_key("period_date")), path)
     fact = read_stored(spark, path)
-    return full, fact, fact.where(~F.expr(EDITED)), sync.fingerprint(fact)
+    return full, fact, fact.where(~F.expr(EDITED)), stage(sync.fingerprint(fact), "states")
 
 
 def _kept(spark, d, *names):

@@ -28,6 +28,7 @@ from snapmart.operators.filters import Scope, keep_places, keep_units, with_unit
 from snapmart.operators.ids import row_sequence
 from snapmart.plans.star import Star
 from snapmart.sources.files import PERIOD
+from snapmart.sources.staging import stage
 from snapmart.sources.versions import append, load_version, read_stored, replace_parts, table_exists
 
 SOURCE = "source_hash"
@@ -172,6 +173,7 @@ class Counts:
 
 def open_counts(fact: DataFrame, states: DataFrame, root: str, summaries: list[Summary] = ADMISSION_COUNTS) -> Counts:
     spark = fact.sparkSession
+    states = stage(states.select(PERIOD, "content_hash"), "states")  # one row a month, read for every summary
     kept = [open_kept(spark, f"{root}/{s.name}", states, s.keys) for s in summaries]
     return Counts(fact, frozenset(_hashes(states, "content_hash")), kept)
 
@@ -217,13 +219,12 @@ def top_units(counts: Counts, star: Star, start: dt.date, end: dt.date, scope: S
 
 def filter_values(counts: Counts, star: Star, start: dt.date, end: dt.date, scope: Scope = EVERYWHERE) -> DataFrame:
     """Values on offer for the demographic filters, as (column, value)."""
-    found = None
-    for columns in (["sex", "race", "admission_type"], ["ethnicity"]):
-        rows = _scoped(counts, star, start, end, scope, ["unit_version", *columns], known_place=True)
-        values = distinct_values(rows, columns, ["unit_version"])
-        kept = values.join(star.units.select("unit_version"), "unit_version", "left_semi").select("column", "value")
-        found = kept if found is None else found.unionByName(kept)
-    return found.distinct().orderBy("column", "value")
+    narrow, wide = ["sex", "race", "admission_type"], ["ethnicity"]
+    found = [_scoped(counts, star, start, end, scope, ["unit_version", *c], known_place=True).select("unit_version", *c) for c in (narrow, wide)]
+    rows = found[0].unionByName(found[1], allowMissingColumns=True)
+    # The versions are met once: Spark would repeat a semi join for every part of the union.
+    kept = rows.join(star.units.select("unit_version").distinct(), "unit_version")
+    return distinct_values(kept, [*narrow, *wide], wide=wide).orderBy("column", "value")
 
 
 # ---- distinct ids ---------------------------------------------------------------------

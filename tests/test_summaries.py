@@ -165,3 +165,26 @@ def test_sketches_stay_within_their_errors(spark, tmp_path):
     assert got.n_values == 200_000
     for name, rank in (("low", 0.1), ("mid", 0.5), ("high", 0.99)):
         assert abs(rows.where(F.col("value") <= got[name]).where(~F.isnan("value")).count() / 200_000 - rank) <= s.KLL_ERROR
+
+
+def test_filter_values_meet_the_units_once(kept):
+    root, fact, star = kept
+    counts = s.open_counts(fact, sync.fingerprint(fact), root)
+    plan = s.filter_values(counts, star, dt.date(2020, 1, 9), dt.date(2020, 5, 20))._jdf.queryExecution().optimizedPlan().toString()
+    assert [r for r in plan.splitlines() if "Join" in r and "(unit_version" in r and "Inner" not in r] == []
+    assert plan.count("Join Inner, (unit_version") == 1
+
+
+def test_month_hashes_are_taken_once(spark, kept):
+    """Opening several counts does not read the fact for its hashes more than once."""
+    root, fact, _ = kept
+    taken = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(h):
+        taken.add(1)
+        return h
+
+    states = sync.fingerprint(fact).withColumn("content_hash", seen("content_hash"))
+    assert all(k.fresh for k in s.open_counts(fact, states, root).kept)
+    assert taken.value == 6  # months

@@ -24,7 +24,7 @@ from snapmart.functions.codes import normalise_code, zero_fill
 from snapmart.functions.hashing import row_hash
 from snapmart.operators.aggregate import latest_per_key
 from snapmart.operators.quality import require
-from snapmart.sources.staging import stage_grouped
+from snapmart.sources.staging import discard, stage, stage_grouped
 
 # Fixed value: start year of the id blocks.
 BASE_YEAR = 2000
@@ -47,14 +47,18 @@ def stage_in_order(df: DataFrame, order_by: list[str], keep: list[str] | None =
     are staged, all by default.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_hash"), F.col("_tie")]
+    hashed = df.withColumns({"_hash": row_hash(df.columns), "_tie": F.spark_partition_id()})
+    # The range shuffle reads its input twice, for the borders and for the rows: what made it runs once.
+    read = stage(hashed, "unordered")
     ranged = (
-        df.withColumns({"_hash": row_hash(df.columns), "_tie": F.spark_partition_id()})
-        .repartitionByRange(*order)
+        read.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_pos"), _PARTITION_SHIFT))
     )
-    return stage_grouped(ranged.select(*(keep or df.columns), *_LOCAL), "ordered", "_pid")
+    ordered = stage_grouped(ranged.select(*(keep or df.columns), *_LOCAL), "ordered", "_pid")
+    discard(read)
+    return ordered
 
 
 def add_position(ordered: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -152,3 +152,19 @@ def test_staged_columns_can_be_fewer(rows):
 def test_scan_of_an_empty_table(rows):
     staged = ids.stage_in_order(rows.limit(0), ["key"])
     assert ids.add_occurrence(staged, ["key"], "n", "total").count() == 0
+
+
+def test_rows_are_made_once_before_the_range_shuffle(spark):
+    """The range shuffle samples its input; what made the rows does not run for that again."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def key(i):
+        made.add(1)
+        return f"k{i % 7}"
+
+    df = spark.range(200, numPartitions=4).select(key("id").alias("key"), "id")
+    ordered = ids.stage_in_order(df, ["key"])
+    assert made.value == 200
+    assert not any("unordered" in f for f in ordered.inputFiles())
+    assert ordered.count() == 200

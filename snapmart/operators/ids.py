@@ -39,17 +39,18 @@ _PARTITION_SHIFT = 33  # monotonically_increasing_id: partition number, then row
 _LOCAL = ["_pos", "_pid"]
 
 
-def stage_in_order(df: DataFrame, order_by: list[str], keep: list[str] | None = None) -> DataFrame:
+def stage_in_order(df: DataFrame, order_by: list[str], keep: list[str] | None = None, once: bool = False) -> DataFrame:
     """The rows in one global order, with their place in it (``_pid``, ``_pos``).
 
     Order: ``order_by`` ascending, NULLs last, then a hash of the whole row, so
     only rows equal throughout are interchangeable. ``keep`` names the columns that
-    are staged, all by default.
+    are staged, all by default. ``once`` stages the rows before the shuffle too, for
+    rows that are dear to make and small to write.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by] + [F.col("_hash"), F.col("_tie")]
     hashed = df.withColumns({"_hash": row_hash(df.columns), "_tie": F.spark_partition_id()})
     # The range shuffle reads its input twice, for the borders and for the rows: what made it runs once.
-    read = stage(hashed, "unordered")
+    read = stage(hashed, "unordered") if once else hashed
     ranged = (
         read.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -57,7 +58,8 @@ def stage_in_order(df: DataFrame, order_by: list[str], keep: list[str] | None =
         .withColumn("_pid", F.shiftright(F.col("_pos"), _PARTITION_SHIFT))
     )
     ordered = stage_grouped(ranged.select(*(keep or df.columns), *_LOCAL), "ordered", "_pid")
-    discard(read)
+    if once:
+        discard(read)
     return ordered
 
 
@@ -154,7 +156,7 @@ def block_ids(
 
     The job fails when a month outgrows its block. Equal rows get different ids.
     """
-    numbered = add_position(stage_in_order(df, [period, *order_by]), [period], "_n")
+    numbered = add_position(stage_in_order(df, [period, *order_by], once=True), [period], "_n")
     fits = require(F.col("_n"), F.col("_n") < block, f"more than {block - 1} rows in a period")
     return drop_place(
         numbered.select(
@@ -166,7 +168,7 @@ def block_ids(
 
 def row_sequence(df: DataFrame, period: str, order_by: list[str], name: str, width: int = 8) -> DataFrame:
     """Zero-filled position of each row in its period."""
-    numbered = add_position(stage_in_order(df, [period, *order_by]), [period], "_n")
+    numbered = add_position(stage_in_order(df, [period, *order_by], once=True), [period], "_n")
     return numbered.select(*df.columns, zero_fill(F.col("_n").cast("string"), width).alias(name))
 
 

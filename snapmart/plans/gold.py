@@ -73,7 +73,7 @@ def equipment(silver: DataFrame) -> DataFrame:
         {"_kind": normalise_code("kind_code"), "_item": pad_code("item_code", 2)}
     )
     keys = ["period", "unit_version", "_kind", "_item"]
-    ordered = stage_in_order(df, [*keys, "quantity", "in_use", "public_flag", "place_id"])
+    ordered = stage_in_order(df, [*keys, "quantity", "in_use", "public_flag", "place_id"], once=True)
     ordered = add_position(ordered, ["period"], "_place")
     ordered = add_occurrence(ordered, keys, "_n", "_total")
     sequence = zero_fill(F.col("_place").cast("string"), 8)

@@ -164,7 +164,7 @@ def test_rows_are_made_once_before_the_range_shuffle(spark):
         return f"k{i % 7}"
 
     df = spark.range(200, numPartitions=4).select(key("id").alias("key"), "id")
-    ordered = ids.stage_in_order(df, ["key"])
+    ordered = ids.stage_in_order(df, ["key"], once=True)
     assert made.value == 200
     assert not any("unordered" in f for f in ordered.inputFiles())
     assert ordered.count() == 200

@@ -105,3 +105,27 @@ def test_slug_agrees_with_header_slug(spark):
     texts = ["Ação e Reação", "  Å ý Ž ñ  ", "São-Paulo (SP)", "ß ﬁ Ĳ ½ x²", "ＡＢ c", "日本", "", "a__b", "ÀÉÎÕÜ Ç", "e\u0301te"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", codes.slug("t").alias("s")).collect()
     assert {r.t: r.s or "" for r in got} == {t: codes.header_slug(t) for t in texts}
+
+
+def test_names_period_is_same_period_of_the_parsed_text(spark):
+    texts = ["202501", "012025", "202502", "022025", "2025-01", " 202501", "202501.0", "120110", "011201", "010112", "202513", "", "x", None]
+    periods = ["202501", "202513", "120110", "120101", "011201", "2025-01", "2025-1", "2025", "20250", "", None]
+    df = spark.createDataFrame([(t, p) for t in texts for p in periods], "t string, p string")
+    told = df.select("t", "p", dates.names_period("t", "p").alias("a"), dates.same_period(dates.parse_period("t"), "p").alias("b")).collect()
+    assert [r for r in told if r.a != r.b] == [] and sum(r.a for r in told) >= 4
+    parts = [("2025", "1"), ("2025", "01"), ("2025", "10"), ("2025.0", "1.0"), (" 2025", "1"), ("1201", "10"), ("2025", ""), (None, "1"), ("2025", None)]
+    df = spark.createDataFrame([(y, m, p) for y, m in parts for p in [*periods, "202510"]], "y string, m string, p string")
+    here = dates.same_period(dates.year_month_date("y", "m"), "p")
+    told = df.select("y", "m", "p", dates.year_month_names_period("y", "m", "p").alias("a"), here.alias("b")).collect()
+    assert [r for r in told if r.a != r.b] == [] and sum(r.a for r in told) >= 4
+
+
+def test_cheap_forms_of_codes_keep_odd_text(spark):
+    texts = ["x", "Infinity", "-inf", "NaN", "nan", " 5 ", "1e3", "+3", ".5", "1d", "0x1p3", "e5", "", None]
+    plain = apply(spark, lambda c: F.trim(c).try_cast("double"), texts)
+    assert list(map(repr, apply(spark, codes.to_number, texts))) == list(map(repr, plain))
+    short = lambda c: F.when(c.rlike("^[0-9]{1,2}$"), F.lpad(c, 3, "0")).otherwise(c)
+    digits = ["7", "07", "007", "0007", "é", "7\n", "x", "", None]
+    assert apply(spark, lambda c: codes.pad_digits(c, 3), digits) == apply(spark, short, digits)
+    assert apply(spark, lambda c: codes.starts_with_any(c, ["51", "4"]), ["515", "42", "15", None]) == [True, True, False, False]
+    assert apply(spark, codes.number_text, [10.0, 0.5, 12.25, 100.0, None], "double") == ["10", "0.5", "12.25", "100", None]

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from snapmart.operators.ids import SMALL_BLOCK
 from snapmart.operators.lookup import lookup_from
 from snapmart.plans import gold, pipeline, silver
+from snapmart.plans.layer_quality import source_quality
 from snapmart.plans.schemas import schema
 from snapmart.plans.star import open_star
 from snapmart.plans import queries as q
 from snapmart.sources import versions
+from snapmart.sources.files import write_periods
 from snapmart.sources.versions import read_stored
 from snapmart.streaming import landing
 
@@ -242,3 +244,67 @@ def test_batches_of_a_month_are_merged(spark, tmp_path, monkeypatch):
     landing.refresh_changed_periods(stream, landed, out, lambda r: r.groupBy("period").agg(F.count("*").alias("n")), check)
     assert read_stored(spark, out).first().n == 12
     assert len(versions.load_version(spark, landed).rows()) <= versions.FACTOR
+
+
+def test_quality_reads_the_raw_rows_twice(spark, tmp_path):
+    line = {"COMPETEN": "202501", "CNES": "1", "period": "202501", "CNS_PROF": "7", "CBO": "225125", "PROF_SUS": "1"}
+    rows = raw(
+        spark, "staff", line, line, {**line, "CBO": "2231-01", "PROF_SUS": "9"}, {**line, "CBO": None, "PROF_SUS": None},
+        {**line, "CBO": "515105", "PROF_SUS": "8"}, {**line, "COMPETEN": "022025"}, {**line, "COMPETEN": None}, {**line, "CBO": "1", "CNES": "2"},
+    )
+    rows.write.parquet(str(tmp_path / "raw"))
+    lookups = silver.Lookups(yes_no=lookup_from(spark, {"01": "Sim"}), occupation=lookup_from(spark, {"225125": "Médico"}))
+    report = source_quality(spark.read.parquet(str(tmp_path / "raw")), "staff", lookups)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    # Besides the grain, the report reads the counts that one pass over the raw rows has made.
+    assert len([n for n in plan.splitlines() if "Relation [" in n and "CNS_PROF" in n]) == 1
+    assert len([n for n in plan.splitlines() if "Relation [" in n and "COMPETEN" in n]) == 1
+    assert sorted((r.check, r.column, r.row_count, r.value_count, r.examples) for r in report.collect()) == [
+        ("other month", "period", 2, None, None),
+        ("repeated line", "CNS_PROF,CNES,CBO", 2, 1, None),
+        ("unknown code", "occupation", 2, 2, "000001,223101"),
+        ("unknown code", "public_link", 1, 1, "09"),
+    ]
+
+
+def test_gathered_rows_are_written_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(0, 90, numPartitions=3).select("id", F.concat(F.lit("20250"), F.floor(F.col("id") / 30) + 1).alias("period"))
+    write_periods(rows, str(tmp_path / "t"), gathered=True)
+    version = versions.load_version(spark, str(tmp_path / "t"))
+    assert [(p.period, p.files) for p in version.rows()] == [("202501", 1), ("202502", 1), ("202503", 1)]
+    assert sorted((r.id, r.period) for r in read_stored(spark, str(tmp_path / "t")).collect()) == sorted((r.id, r.period) for r in rows.collect())
+
+
+def test_lookups_that_may_not_be_broadcast_are_not_small(spark):
+    lookups = silver.Lookups(sex=lookup_from(spark, {"1": "m"}))
+    assert lookups.small() and silver.Lookups().small()
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not lookups.small()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+
+
+def test_raw_folders_join_the_lines_once(spark, tmp_path, monkeypatch):
+    from registry import layers
+
+    tables = {
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz", [
+            (1, 1, 1, 1, 1.0, 2.5, 0.0, "A", "O", dt.datetime(1995, 3, 9)), (1, 1, 1, 1, 1.0, 2.5, 0.0, "A", "O", dt.datetime(1995, 3, 9)),
+            (1, 2, 1, 7, 30.0, 9.0, 0.0, "R", "F", dt.datetime(1996, 12, 31)), (2, 1, 1, 2, 4.0, 9.0, 0.0, None, None, None), (None, 1, 1, 3, 4.0, 9.0, 0.0, "N", "F", dt.datetime(1995, 3, 9)),
+        ]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string", [(1, 5, "O", dt.datetime(1995, 1, 2), "1-URGENT"), (2, None, None, None, None)]),
+        "part": ("p_partkey long, p_type string, p_size int", [(1, "PROMO", 3), (2, "SMALL", None)]),
+        "supplier": ("s_suppkey long, s_nationkey int, s_acctbal double", [(1, 4, 6000.0)]),
+    }
+    for name, (schema_, rows) in tables.items():
+        spark.createDataFrame(rows, schema_).write.parquet(str(tmp_path / f"{name}.parquet"))
+    made, joined = [], layers._joined
+    monkeypatch.setattr(layers, "_joined", lambda *a: made.append(1) or joined(*a))
+    folder = layers.raw_folders(spark, str(tmp_path))
+    assert len(made) == 1
+    for name, make in layers.RAW.items():
+        want = make(spark, str(tmp_path))
+        got = read_stored(spark, f"{folder}/{silver.SOURCE_FILES[name][1]}").select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 4

@@ -168,3 +168,23 @@ def test_rows_are_made_once_before_the_range_shuffle(spark):
     assert made.value == 200
     assert not any("unordered" in f for f in ordered.inputFiles())
     assert ordered.count() == 200
+
+
+def test_places_in_months_do_not_shuffle_the_staged_rows(spark, rows):
+    """However large the rows are guessed to be, the few borders go to them."""
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ordered = ids.stage_in_order(rows, ["period", "key", "v"])
+        placed = ids.add_position(ordered, ["period"], "_n")
+        numbered = ids.add_occurrence(placed, ["period", "key"], "_k", "_total")
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        both = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert "SortMergeJoin" not in plan + both
+    assert plan.count("Exchange hashpartitioning") == 1  # of the borders, by month
+    per_month = {}
+    for r in placed.collect():
+        per_month.setdefault(r.period, []).append(r._n)
+    assert all(sorted(n) == list(range(1, len(n) + 1)) for n in per_month.values())
